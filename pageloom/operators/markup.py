@@ -17,13 +17,28 @@ from ..functions import html as H
 from ..functions import urls as U
 from ..functions.expr import column, filter_array, let, map_array, quote
 
-IN_PAGE_ORDER = Window.partitionBy("page_id").orderBy("pos")
-RUNNING = IN_PAGE_ORDER.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+# Columns and windows need a session, so they are made when used.
 
-IS_OPEN = F.col("kind") == "open"
-IS_CLOSE = F.col("kind") == "close"
-IS_TEXT = F.col("kind") == "text"
-IS_VOID = F.coalesce(F.col("tag").isin(*H.VOID_TAGS), F.lit(False))
+
+def is_open() -> Column:
+    return F.col("kind") == "open"
+
+
+def is_close() -> Column:
+    return F.col("kind") == "close"
+
+
+def is_text() -> Column:
+    return F.col("kind") == "text"
+
+
+def is_void() -> Column:
+    return F.coalesce(F.col("tag").isin(*H.VOID_TAGS), F.lit(False))
+
+
+def running() -> Window:
+    """All tokens of the page up to this one."""
+    return Window.partitionBy("page_id").orderBy("pos").rowsBetween(Window.unboundedPreceding, Window.currentRow)
 
 
 def tokenize(pages: DataFrame, keep: tuple[str, ...] = ()) -> DataFrame:
@@ -46,9 +61,9 @@ def tokenize(pages: DataFrame, keep: tuple[str, ...] = ()) -> DataFrame:
         .where("kind <> 'declaration'")
         .select(
             "page_id", *keep, "pos", "kind",
-            F.when(~IS_TEXT, F.lower(F.regexp_extract(token, r"^</?([A-Za-z][^\s/>]*)", 1))).alias("tag"),
-            F.when(~IS_TEXT, token).alias("raw"),
-            F.when(IS_TEXT, H.decode_entities("token")).alias("text"),
+            F.when(~is_text(), F.lower(F.regexp_extract(token, r"^</?([A-Za-z][^\s/>]*)", 1))).alias("tag"),
+            F.when(~is_text(), token).alias("raw"),
+            F.when(is_text(), H.decode_entities("token")).alias("text"),
         )
     )
 
@@ -57,9 +72,12 @@ def page_tokens(pages: DataFrame, keep: tuple[str, ...] = ()) -> DataFrame:
     """Tokens of pages that were first shuffled by ``page_id``.
 
     Shuffling whole pages moves far fewer bytes and rows than shuffling their
-    tokens for the first window.
+    tokens for the first window. The number of partitions is fixed, because
+    parsing makes much more of a page than its stored size suggests, and
+    adaptive merging of small partitions goes by that size.
     """
-    return tokenize(pages.select("page_id", *keep, "html").repartition("page_id"), keep)
+    parts = int(pages.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return tokenize(pages.select("page_id", *keep, "html").repartition(parts, "page_id"), keep)
 
 
 def _floor_zero(total: Column, low: Column) -> Column:
@@ -74,16 +92,16 @@ def with_depth(tokens: DataFrame, groups: dict[str, tuple[str, ...] | None]) ->
     """
 
     def step(tags: tuple[str, ...] | None) -> Column:
-        member = ~IS_VOID if tags is None else F.col("tag").isin(*tags)
-        return F.when(IS_OPEN & member, 1).when(IS_CLOSE & member, -1).otherwise(0)
+        member = ~is_void() if tags is None else F.col("tag").isin(*tags)
+        return F.when(is_open() & member, 1).when(is_close() & member, -1).otherwise(0)
 
     # one window for all groups
-    out = tokens.withColumns({f"_s_{name}": F.sum(step(tags)).over(RUNNING) for name, tags in groups.items()})
+    out = tokens.withColumns({f"_s_{name}": F.sum(step(tags)).over(running()) for name, tags in groups.items()})
     out = out.withColumns(
         {
             name: (
-                _floor_zero(F.col(f"_s_{name}"), F.min(f"_s_{name}").over(RUNNING))
-                + F.when(IS_CLOSE & (step(tags) != 0), 1).otherwise(0)
+                _floor_zero(F.col(f"_s_{name}"), F.min(f"_s_{name}").over(running()))
+                + F.when(is_close() & (step(tags) != 0), 1).otherwise(0)
             ).cast("int")
             for name, tags in groups.items()
         }
@@ -95,21 +113,21 @@ def with_ends(tokens: DataFrame) -> DataFrame:
     """Add ``tag_level`` (nesting depth among elements of the same tag) and, at
     opening tags, ``end`` (position of the closing tag, NULL if there is none)."""
     per_tag = Window.partitionBy("page_id", "tag").orderBy("pos")
-    running = per_tag.rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    step = F.when(IS_VOID, 0).when(IS_OPEN, 1).when(IS_CLOSE, -1).otherwise(0)
-    leveled = tokens.withColumn("_s", F.sum(step).over(running)).withColumn(
+    so_far = per_tag.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    step = F.when(is_void(), 0).when(is_open(), 1).when(is_close(), -1).otherwise(0)
+    leveled = tokens.withColumn("_s", F.sum(step).over(so_far)).withColumn(
         "tag_level",
-        (_floor_zero(F.col("_s"), F.min("_s").over(running)) + F.when(IS_CLOSE & ~IS_VOID, 1).otherwise(0)).cast("int"),
+        (_floor_zero(F.col("_s"), F.min("_s").over(so_far)) + F.when(is_close() & ~is_void(), 1).otherwise(0)).cast("int"),
     )
     partner = F.lead("pos").over(Window.partitionBy("page_id", "tag", "tag_level").orderBy("pos"))
-    return leveled.drop("_s").withColumn("end", F.when(IS_OPEN & ~IS_VOID, partner))
+    return leveled.drop("_s").withColumn("end", F.when(is_open() & ~is_void(), partner))
 
 
 def spans(tokens: DataFrame) -> DataFrame:
     """Elements as page_id, tag, start, end, level. Void elements have none."""
     return (
-        with_ends(tokens.where(~IS_TEXT & ~IS_VOID))
-        .where(IS_OPEN)
+        with_ends(tokens.where(~is_text() & ~is_void()))
+        .where(is_open())
         .select("page_id", "tag", F.col("pos").alias("start"), "end", F.col("tag_level").alias("level"))
     )
 

@@ -7,8 +7,9 @@ from pyspark.sql import functions as F
 
 from ..functions import html as H
 from ..functions import urls as U
+from ..functions.expr import column, let
 from ..functions.text import WHITESPACE
-from .markup import IS_OPEN, IS_TEXT, page_tokens, with_depth
+from .markup import is_open, is_text, page_tokens, with_depth
 
 CELL = (
     "struct<text:string,row:int,col:int,colspan:int,rowspan:int,img_links:array<string>,"
@@ -16,11 +17,28 @@ CELL = (
 )
 _STATE = "struct<row:int,cursor:int,busy_until:array<int>,cols:array<int>>"
 
-_IS_TABLE = IS_OPEN & (F.col("tag") == "table")
-_IS_ROW = IS_OPEN & (F.col("tag") == "tr")
-_IS_CELL = IS_OPEN & F.col("tag").isin("td", "th")
-_IS_ANCHOR = IS_OPEN & (F.col("tag") == "a")
-_IS_IMAGE = IS_OPEN & (F.col("tag") == "img")
+def _opens(*tags: str) -> Column:
+    return is_open() & F.col("tag").isin(*tags)
+
+
+def _is_table() -> Column:
+    return _opens("table")
+
+
+def _is_row() -> Column:
+    return _opens("tr")
+
+
+def _is_cell() -> Column:
+    return _opens("td", "th")
+
+
+def _is_anchor() -> Column:
+    return _opens("a")
+
+
+def _is_image() -> Column:
+    return _opens("img")
 
 
 def _running(*keys: str) -> Window:
@@ -39,27 +57,30 @@ def _cell_contents(tokens: DataFrame) -> DataFrame:
         tokens, {"t_depth": ("table",), "r_depth": ("tr",), "c_depth": ("td", "th"), "a_depth": ("a",)}
     )
     deep = deep.withColumn(
-        "a_start", F.when(F.col("a_depth") > 0, _last_opened(_IS_ANCHOR, "pos", "a_depth"))
+        "a_start", F.when(F.col("a_depth") > 0, _last_opened(_is_anchor(), "pos", "a_depth"))
+    )
+    is_item = (is_text() | _is_anchor() | _is_image()) & (F.col("c_depth") > 0)
+    is_head = _is_table() | _is_row() | _is_cell()
+    address = (
+        f"CASE WHEN kind <> 'open' THEN NULL WHEN tag = 'a' THEN {H.attribute_sql('raw', 'href')}"
+        f" WHEN tag = 'img' THEN {H.attribute_sql('raw', 'src')} END"
     )
-    is_item = (IS_TEXT | _IS_ANCHOR | _IS_IMAGE) & (F.col("c_depth") > 0)
-    is_head = _IS_TABLE | _IS_ROW | _IS_CELL
-    href = F.when(_IS_ANCHOR, H.attribute("raw", "href")).when(_IS_IMAGE, H.attribute("raw", "src"))
+    target = let(address, lambda h: f"IF({h} <> '', {U.resolve_url_sql('base', h)}, NULL)")
     relevant = (
         deep.where((F.col("t_depth") > 0) & (is_head | is_item))
-        .withColumn("href", F.nullif(href, F.lit("")))
-        .withColumn("target", F.when(F.col("href").isNotNull(), U.resolve_url("base", "href")))
+        .withColumn("target", column(target))
         # an item belongs to every cell around it, a cell start to its own level
         .withColumn(
             "level",
             F.explode(
                 F.when(is_item, F.sequence(F.lit(1), F.col("c_depth")))
-                .when(_IS_CELL, F.array("c_depth"))
+                .when(_is_cell(), F.array("c_depth"))
                 .otherwise(F.array(F.lit(0)))
             ),
         )
         .withColumn(
             "head_pos",
-            F.when(F.col("level") == 0, F.col("pos")).otherwise(_last_opened(_IS_CELL, "pos", "level")),
+            F.when(F.col("level") == 0, F.col("pos")).otherwise(_last_opened(_is_cell(), "pos", "level")),
         )
     )
     is_own = F.col("pos") == F.col("head_pos")

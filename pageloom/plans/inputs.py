@@ -84,7 +84,14 @@ def table_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
     item = F.struct(
         "l_linenumber", "l_partkey", "l_suppkey", F.col("l_quantity").cast("bigint").alias("l_quantity")
     )
-    orders = table(spark, sf_dir, "lineitem").groupBy("l_orderkey").agg(F.sort_array(F.collect_list(item)).alias("items"))
+    # a fixed number of parts: the grouped rows are small, the pages made of them are not
+    parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    orders = (
+        table(spark, sf_dir, "lineitem")
+        .repartition(parts, "l_orderkey")
+        .groupBy("l_orderkey")
+        .agg(F.sort_array(F.collect_list(item)).alias("items"))
+    )
     plain = F.transform(
         "items",
         lambda i: F.format_string(

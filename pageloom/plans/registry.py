@@ -6,7 +6,6 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from ..functions import text as TX
 from ..functions import urls as U
@@ -39,7 +38,7 @@ def _list(col: str):
 
 # --- S: sources and sinks ---------------------------------------------------
 
-RECORD_FIELDS = T.StructType.fromDDL("url string, merged_text string, images array<string>, files array<string>")
+RECORD_FIELDS = "url string, merged_text string, images array<string>, files array<string>"
 
 
 @query
@@ -81,8 +80,7 @@ def size_bounded_write(spark, sf):
 def year_partitioned_notices(spark, sf):
     path = scratch_dir(spark, "years")
     jsonl.write_by_year(I.articles(spark, sf), path)
-    schema = T.StructType.fromDDL("article_no string, url string, category string")
-    return jsonl.read_by_year(spark, path, schema).select("article_no", "url", "category", "notice_year")
+    return jsonl.read_by_year(spark, path, "article_no string, url string, category string").select("article_no", "url", "category", "notice_year")
 
 
 def _write_state_files(spark, sf) -> str:
@@ -421,7 +419,7 @@ def next_batch(spark, sf):
 def link_log(spark, sf):
     path = scratch_dir(spark, "links")
     jsonl.append_jsonl(frontier.link_log(_admitted(spark, sf)), path)
-    return jsonl.read_jsonl(spark, path, T.StructType.fromDDL("url string, depth int"))
+    return jsonl.read_jsonl(spark, path, "url string, depth int")
 
 
 @query

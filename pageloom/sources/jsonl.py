@@ -11,7 +11,7 @@ from pyspark.errors import AnalysisException
 TARGET_BYTES = 50 * 1024 * 1024
 
 
-def read_jsonl(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
+def read_jsonl(spark: SparkSession, path: str, schema: str | T.StructType) -> DataFrame:
     """One object per line; blank lines are skipped, a malformed line fails the
     read, a missing path is an empty table."""
     try:
@@ -51,8 +51,6 @@ def write_by_year(notices: DataFrame, path: str, year: str = "notice_year") -> N
     notices.hint("rebalance", F.col(year)).write.mode("append").partitionBy(year).json(path)
 
 
-def read_by_year(spark: SparkSession, path: str, schema: T.StructType, year: str = "notice_year") -> DataFrame:
+def read_by_year(spark: SparkSession, path: str, schema: str, year: str = "notice_year") -> DataFrame:
     """Notices with their year; a filter on the year prunes folders."""
-    return spark.read.schema(schema if year in schema.names else T.StructType([*schema.fields, T.StructField(year, T.IntegerType())])).option(
-        "mode", "FAILFAST"
-    ).json(path)
+    return spark.read.schema(f"{schema}, {year} int").option("mode", "FAILFAST").json(path)
