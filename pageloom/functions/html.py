@@ -57,7 +57,8 @@ def decode_entities_sql(e: str) -> str:
         refs = f"array_distinct(regexp_extract_all({text}, '&#(?:[0-9]{{1,7}}|[xX][0-9a-fA-F]{{1,6}});', 0))"
 
         def char(code: str) -> str:
-            valid = f"({code} BETWEEN 1 AND 55295 OR {code} BETWEEN 57344 AND 1114111)"
+            # neither surrogates nor the code points used as marks
+            valid = f"({code} BETWEEN 1 AND 55295 OR {code} BETWEEN 57344 AND 64975 OR {code} BETWEEN 65008 AND 1114111)"
             return f"decode(unhex(lpad(hex(IF({valid}, {code}, 65533)), 8, '0')), 'UTF-32')"
 
         def code(r: str) -> str:

@@ -1,4 +1,10 @@
-"""Tables inside pages: cells with grid positions, texts, links and images."""
+"""Tables inside pages: cells with grid positions, texts, links and images.
+
+Two exact ways lead to the same result. Pages whose table tags close in order
+and are not nested are read inside their row, without any shuffle. The other
+pages (tables in cells, missing end tags) go through windows over their tokens,
+after one shuffle of just those pages.
+"""
 
 from __future__ import annotations
 
@@ -7,15 +13,176 @@ from pyspark.sql import functions as F
 
 from ..functions import html as H
 from ..functions import urls as U
-from ..functions.expr import column, let
-from ..functions.text import WHITESPACE
-from .markup import is_open, is_text, page_tokens, with_depth
+from ..functions.expr import column, filter_array, fresh, let, map_array, quote
+from ..functions.text import WHITESPACE, clean_text_sql
+from .markup import is_open, is_text, page_tokens, running, with_depth
 
 CELL = (
     "struct<text:string,row:int,col:int,colspan:int,rowspan:int,img_links:array<string>,"
     "links:array<struct<href:string,text:string>>>"
 )
+TABLES = f"array<struct<table_no:int,cells:array<{CELL}>>>"
 _STATE = "struct<row:int,cursor:int,busy_until:array<int>,cols:array<int>>"
+_NO_TABLES = f"cast(array() AS {TABLES})"
+
+# --- pages in order: row-local -------------------------------------------------
+# One-character marks for the start and end of tables, rows, cells, tags of
+# cells, anchors, tags of anchors, and images. They never occur in text.
+_T, _T_END, _R, _R_END, _C, _C_TAG, _C_END, _A, _A_TAG, _A_END, _I, _I_END = (
+    chr(code) for code in range(0xFDD4, 0xFDE0)
+)
+
+
+def _marked_sql(html: str) -> str:
+    """The page as text with marks; other tags are gone."""
+    cases = (
+        ("table", quote(_T), quote(_T_END)),
+        ("tr", quote(_R), quote(_R_END)),
+        ("t[dh]", f"{quote(_C)} || t || {quote(_C_TAG)}", quote(_C_END)),
+        ("a", f"{quote(_A)} || t || {quote(_A_TAG)}", quote(_A_END)),
+        ("img", f"{quote(_I)} || t || {quote(_I_END)}", "''"),
+    )
+    tests = " ".join(
+        f"WHEN rlike(t, {quote(rf'(?i)^<{name}(?=[\s/>])')}) THEN {on} WHEN rlike(t, {quote(rf'(?i)^</{name}(?=[\s/>])')}) THEN {off}"
+        for name, on, off in cases
+    )
+    return (
+        f"array_join(transform({H.token_array_sql(html)}, t -> CASE WHEN NOT startswith(t, '<') OR t = '<'"
+        f" THEN {H.decode_entities_sql('t')} {tests} ELSE '' END), '')"
+    )
+
+
+def _in_order_sql(marked: str) -> str:
+    """True if cells, rows and tables close in order and nothing is nested."""
+    marks = f"regexp_replace({marked}, {quote(f'[^{_T}{_T_END}{_R}{_R_END}{_C}{_C_END}]')}, '')"
+    for pair in (_C + _C_END, _R + _R_END, _T + _T_END):
+        marks = f"replace({marks}, {quote(pair)}, '')"
+    return f"({marks} = '')"
+
+
+def _has_table_sql(html: str) -> str:
+    return f"rlike({html}, {quote(r'(?i)<table[\s/>]')})"
+
+
+def in_order_sql(html: str) -> str:
+    """True if the page can be read inside its row; also if it has no table."""
+    return f"IF({_has_table_sql(html)}, {_in_order_sql(_marked_sql(html))}, true)"
+
+
+def _span_sql(tag: str, name: str) -> str:
+    """Span attribute as a number; 1 if absent, NULL if it is not a number."""
+    return let(H.attribute_sql(tag, name), lambda v: f"IF({v} IS NULL, 1, try_cast(trim({v}) AS int))")
+
+
+def table_array_sql(html: str, base: str) -> str:
+    """Tables of a page in order, as an array of (table_no, cells)."""
+
+    def inside(text: str, start: str, end: str) -> str:
+        return f"regexp_extract_all({text}, {quote(f'{start}([^{end}]*){end}')}, 1)"
+
+    def read_cell(cell: str, row: str) -> str:
+        tag = f"substring_index({cell}, {quote(_C_TAG)}, 1)"
+        return (
+            f"named_struct('row', cast({row} AS int), 'colspan', {_span_sql(tag, 'colspan')},"
+            f" 'rowspan', {_span_sql(tag, 'rowspan')}, 'content', substring_index({cell}, {quote(_C_TAG)}, -1))"
+        )
+
+    def read_row(row_text: str, row: str) -> str:
+        return map_array(inside(row_text, _C, _C_END), lambda c: read_cell(c, row))
+
+    def total(cells: str) -> str:
+        acc, x = fresh(), fresh()
+        return f"aggregate({cells}, 0, ({acc}, {x}) -> {acc} + coalesce({x}.colspan, 0))"
+
+    def absolute(tag: str, name: str, parts: str) -> str:
+        return let(
+            H.attribute_sql(tag, name),
+            lambda h: f"IF({h} <> '', {U.resolve_from_sql(base, parts, h)}, NULL)",
+        )
+
+    def plain(text: str) -> str:
+        marks = quote(f"{_A}[^{_A_TAG}]*{_A_TAG}|{_A_END}|{_I}[^{_I_END}]*{_I_END}")
+        return clean_text_sql(f"regexp_replace({text}, {marks}, '')")
+
+    def finish(c: str, col: str, parts: str) -> str:
+        content = f"{c}.content"
+        images = map_array(inside(content, _I, _I_END), lambda t: absolute(t, "src", parts))
+        anchors = f"regexp_extract_all({content}, {quote(f'{_A}[^{_A}{_A_END}]*')}, 0)"
+        links = map_array(
+            anchors,
+            lambda a: f"named_struct('href', {absolute(f'substring_index({a}, {quote(_A_TAG)}, 1)', 'href', parts)},"
+            f" 'text', {plain(a)})",
+        )
+        return (
+            f"named_struct('text', {plain(content)}, 'row', {c}.row, 'col', {col},"
+            f" 'colspan', IF({c}.colspan > 1, {c}.colspan, NULL), 'rowspan', IF({c}.rowspan > 1, {c}.rowspan, NULL),"
+            f" 'img_links', IF(contains({content}, {quote(_I)}), {filter_array(images, lambda u: f'{u} IS NOT NULL')}, NULL),"
+            f" 'links', IF(contains({content}, {quote(_A)}), {filter_array(links, lambda l: f'{l}.href IS NOT NULL')}, NULL))"
+        )
+
+    def grid(rows: str, parts: str) -> str:
+        """Cells of one table with their columns; NULL if a span is no number."""
+
+        def place(t: str) -> str:
+            cells, width = f"{t}.cells", f"{t}.width"
+            # without row spans a cell stands behind the cells before it in its row
+            fast = map_array(
+                rows,
+                lambda r: f"transform({r}, (c, i) -> {let(total(f'slice({r}, 1, i)'), lambda n: f'IF({n} < {width}, {n}, NULL)')})",
+            )
+            cols = (
+                f"IF({width} > 0 AND exists({cells}, c -> c.rowspan > 1), {_place_cells_sql(cells, width)}, flatten({fast}))"
+            )
+            placed = let(
+                cols,
+                lambda k: f"transform({cells}, (c, i) -> IF({k}[i] IS NULL, NULL, {finish('c', f'{k}[i]', parts)}))",
+            )
+            return (
+                f"IF(exists({cells}, c -> c.colspan IS NULL OR c.rowspan IS NULL), NULL,"
+                f" {filter_array(placed, lambda c: f'{c} IS NOT NULL')})"
+            )
+
+        widths = f"array_max({map_array(rows, total)})"
+        return let(f"named_struct('cells', flatten({rows}), 'width', coalesce({widths}, 0))", place)
+
+    def tables(m: str) -> str:
+        def one(t: str, n: str, parts: str) -> str:
+            rows = f"transform({inside(t, _R, _R_END)}, (r, n) -> {read_row('r', 'n')})"
+            return f"named_struct('table_no', cast({n} AS int), 'cells', {let(rows, lambda r: grid(r, parts))})"
+
+        name, number = fresh(), fresh()
+        listed = let(
+            U.url_parts_sql(base),
+            lambda p: f"transform({inside(m, _T, _T_END)}, ({name}, {number}) -> {one(name, number, p)})",
+        )
+        return filter_array(listed, lambda t: f"{t}.cells IS NOT NULL")
+
+    return f"cast(IF({_has_table_sql(html)}, {let(_marked_sql(html), tables)}, {_NO_TABLES}) AS {TABLES})"
+
+
+def _place_cells_sql(cells: str, width: str) -> str:
+    """Grid column of each cell (NULL: no room) when some cells span rows.
+
+    ``busy_until[k]`` is the first row in which column k is free again. Cells
+    are visited in row order and take the first free column from the cursor on.
+    """
+    cursor = "IF(s.row = c.row, s.cursor, 0)"
+    free = f"filter(sequence(0, {width} - 1), k -> k >= {cursor} AND s.busy_until[k] <= c.row)"
+    until = (
+        "transform(s.busy_until, (v, k) -> IF(k >= f AND k < f + c.colspan, greatest(v, c.row + c.rowspan), v))"
+    )
+    step = (
+        f"transform(array(get({free}, 0)), f -> cast(named_struct('row', c.row, 'cursor', coalesce(f + c.colspan, {width}),"
+        f" 'busy_until', IF(f IS NULL, s.busy_until, {until}), 'cols', concat(s.cols, array(f))) AS {_STATE}))[0]"
+    )
+    start = (
+        f"cast(named_struct('row', -1, 'cursor', 0, 'busy_until', array_repeat(0, {width}), 'cols', array()) AS {_STATE})"
+    )
+    return f"aggregate({cells}, {start}, (s, c) -> {step}, s -> s.cols)"
+
+
+# --- all other pages: windows over tokens ------------------------------------------
+
 
 def _opens(*tags: str) -> Column:
     return is_open() & F.col("tag").isin(*tags)
@@ -55,20 +222,14 @@ def _cell_contents(tokens: DataFrame) -> DataFrame:
     """One row per table, row and cell start; cells carry their items."""
     deep = with_depth(
         tokens, {"t_depth": ("table",), "r_depth": ("tr",), "c_depth": ("td", "th"), "a_depth": ("a",)}
-    )
+    ).withColumn("table_no", (F.sum(F.when(_is_table(), 1).otherwise(0)).over(running()) - 1).cast("int"))
     deep = deep.withColumn(
         "a_start", F.when(F.col("a_depth") > 0, _last_opened(_is_anchor(), "pos", "a_depth"))
     )
     is_item = (is_text() | _is_anchor() | _is_image()) & (F.col("c_depth") > 0)
     is_head = _is_table() | _is_row() | _is_cell()
-    address = (
-        f"CASE WHEN kind <> 'open' THEN NULL WHEN tag = 'a' THEN {H.attribute_sql('raw', 'href')}"
-        f" WHEN tag = 'img' THEN {H.attribute_sql('raw', 'src')} END"
-    )
-    target = let(address, lambda h: f"IF({h} <> '', {U.resolve_url_sql('base', h)}, NULL)")
     relevant = (
         deep.where((F.col("t_depth") > 0) & (is_head | is_item))
-        .withColumn("target", column(target))
         # an item belongs to every cell around it, a cell start to its own level
         .withColumn(
             "level",
@@ -90,7 +251,7 @@ def _cell_contents(tokens: DataFrame) -> DataFrame:
 
     item = F.struct("pos", "tag", "a_start", "target", "text")
     return relevant.groupBy("page_id", F.col("head_pos").alias("pos")).agg(
-        own("tag"), own("raw"), own("t_depth"), own("r_depth"), own("c_depth"),
+        *[own(c) for c in ("tag", "colspan", "rowspan", "table_no", "t_depth", "r_depth", "c_depth")],
         F.array_sort(F.collect_list(F.when(is_item, item))).alias("items"),
     )
 
@@ -100,48 +261,6 @@ def _join_text(items: Column) -> Column:
     return F.trim(F.regexp_replace(raw, WHITESPACE + "+", " "))
 
 
-def _span(name: str) -> Column:
-    """Span attribute as a number; 1 if absent, NULL if it is not a number."""
-    text = H.attribute("raw", name)
-    return F.when(text.isNull(), F.lit(1)).otherwise(F.trim(text).try_cast("int"))
-
-
-def _place_cells(cells: Column, width: Column) -> Column:
-    """Grid column of each cell (NULL: no room) when some cells span rows.
-
-    ``busy_until[k]`` is the first row in which column k is free again. Cells
-    are visited in row order and take the first free column from the cursor on.
-    """
-
-    def step(s: Column, c: Column) -> Column:
-        cursor = F.when(s["row"] == c["row"], s["cursor"]).otherwise(F.lit(0))
-        free = F.get(
-            F.filter(
-                F.sequence(F.lit(0), width - 1),
-                lambda k: (k >= cursor) & (F.get(s["busy_until"], k) <= c["row"]),
-            ),
-            F.lit(0),
-        )
-        until = F.transform(
-            s["busy_until"],
-            lambda v, k: F.when(
-                (k >= free) & (k < free + c["colspan"]), F.greatest(v, c["row"] + c["rowspan"])
-            ).otherwise(v),
-        )
-        return F.struct(
-            c["row"].alias("row"),
-            F.coalesce(free + c["colspan"], width).alias("cursor"),
-            F.when(free.isNull(), s["busy_until"]).otherwise(until).alias("busy_until"),
-            F.concat(s["cols"], F.array(free)).alias("cols"),
-        ).cast(_STATE)
-
-    start = F.struct(
-        F.lit(-1).alias("row"), F.lit(0).alias("cursor"),
-        F.array_repeat(F.lit(0), width).alias("busy_until"), F.array().cast("array<int>").alias("cols"),
-    ).cast(_STATE)
-    return F.aggregate(cells, start, step, lambda s: s["cols"])
-
-
 def _cell_object(c: Column) -> Column:
     images = F.filter(c["items"], lambda i: i["tag"] == "img")
     anchors = F.filter(c["items"], lambda i: i["tag"] == "a")
@@ -168,24 +287,30 @@ def _cell_object(c: Column) -> Column:
     ).cast(CELL)
 
 
-def extract_tables(pages: DataFrame, base: str = "url") -> DataFrame:
-    """page_id, table_pos, cells: one row per table, nested tables included.
+def _tables_by_windows(pages: DataFrame, base: str) -> DataFrame:
+    """page_id, table_no, cells of pages that hold a table.
 
     All rows below a table belong to it, also those of tables nested in it.
-    Cells beyond the widest row are dropped, and so is a table with a span
-    that is not a number. ``base`` is the address that relative links start
-    from (default: the page). Only pages that hold a table are shuffled.
     """
-    with_base = (
-        pages.where(F.col("html").rlike(r"(?i)<table[\s/>]"))
-        .withColumn("base", F.expr(base))
-        .select("page_id", "base", "html")
+    address = (
+        f"CASE WHEN kind <> 'open' THEN NULL WHEN tag = 'a' THEN {H.attribute_sql('raw', 'href')}"
+        f" WHEN tag = 'img' THEN {H.attribute_sql('raw', 'src')} END"
+    )
+    target = let(address, lambda h: f"IF({h} <> '', {U.resolve_url_sql('base', h)}, NULL)")
+    # read the tags first, so that the sorts below move narrow rows of few tags
+    tokens = page_tokens(pages.select("page_id", F.expr(base).alias("base"), "html"), keep=("base",))
+    narrow = tokens.where(F.col("tag").isNull() | F.col("tag").isin("table", "tr", "td", "th", "a", "img")).select(
+        "page_id", "pos", "kind", "tag", "text",
+        column(target).alias("target"),
+        *[
+            column(f"IF(kind = 'open' AND tag IN ('td', 'th'), {_span_sql('raw', name)}, NULL)").alias(name)
+            for name in ("colspan", "rowspan")
+        ],
     )
-    parts = _cell_contents(page_tokens(with_base, keep=("base",)))
+    parts = _cell_contents(narrow)
     is_table, is_row, is_cell = F.col("tag") == "table", F.col("tag") == "tr", F.col("tag").isin("td", "th")
     placed = (
-        parts.withColumn("colspan", F.when(is_cell, _span("colspan")))
-        .withColumn("rowspan", F.when(is_cell, _span("rowspan")))
+        parts
         # rows and cells count for every table around them
         .withColumn(
             "level",
@@ -213,11 +338,12 @@ def extract_tables(pages: DataFrame, base: str = "url") -> DataFrame:
     # the leading fields order the cells row by row
     cell = F.struct("row", "pos", F.col("fast_col").alias("col"), "colspan", "rowspan", "items")
     tables = sized.groupBy("page_id", "table_pos").agg(
+        F.max(F.when(is_table, F.col("table_no"))).alias("table_no"),
         F.max("width").alias("width"),
         F.max(F.coalesce(F.col("rowspan") > 1, F.lit(False))).alias("spans_rows"),
         F.sort_array(F.collect_list(F.when(is_cell, cell))).alias("cells"),
     )
-    cols = F.when(F.col("spans_rows") & (F.col("width") > 0), _place_cells(F.col("cells"), F.col("width"))).otherwise(
+    cols = F.when(F.col("spans_rows") & (F.col("width") > 0), column(_place_cells_sql("cells", "width"))).otherwise(
         F.transform("cells", lambda c: F.when(c["col"] < F.col("width"), c["col"]))
     )
     positioned = tables.withColumn("cols", cols).withColumn(
@@ -226,17 +352,42 @@ def extract_tables(pages: DataFrame, base: str = "url") -> DataFrame:
     )
     return positioned.select(
         "page_id",
-        "table_pos",
+        "table_no",
         F.transform(F.filter("cells", lambda c: c["col"].isNotNull()), _cell_object).alias("cells"),
     )
 
 
+def with_tables(pages: DataFrame, base: str = "url", output: str = "tables") -> DataFrame:
+    """Add the tables of each page, in order, as array of (table_no, cells).
+
+    Nested tables are listed as well, and all rows below a table belong to it.
+    ``table_no`` counts the opening tags of the page. Cells beyond the widest
+    row are dropped, and so is a table with a span that is not a number.
+    ``base`` is where relative links start from.
+    """
+    in_order = column(in_order_sql("html"))
+    local = pages.where(in_order).withColumn(output, column(table_array_sql("html", base)))
+    others = pages.where(~in_order)
+    by_page = (
+        _tables_by_windows(others, base)
+        .groupBy("page_id")
+        .agg(F.array_sort(F.collect_list(F.struct("table_no", "cells"))).cast(TABLES).alias(output))
+    )
+    return local.unionByName(
+        others.join(by_page, "page_id", "left")
+        .withColumn(output, F.coalesce(output, F.expr(_NO_TABLES)))
+        .select(*pages.columns, output)
+    )
+
+
+def extract_tables(pages: DataFrame, base: str = "url") -> DataFrame:
+    """page_id, table_no, cells: one row per table. See :func:`with_tables`."""
+    return with_tables(pages, base, "_tables").select("page_id", F.inline("_tables"))
+
+
 def table_cells(pages: DataFrame) -> DataFrame:
     """page_id, table_no, cell_no and the cell's fields, one row per cell."""
-    numbered = extract_tables(pages).withColumn(
-        "table_no", F.row_number().over(Window.partitionBy("page_id").orderBy("table_pos")) - 1
-    )
-    return numbered.select("page_id", "table_no", F.posexplode("cells").alias("cell_no", "cell")).select(
+    return extract_tables(pages).select("page_id", "table_no", F.posexplode("cells").alias("cell_no", "cell")).select(
         "page_id", "table_no", "cell_no", "cell.*"
     )
 

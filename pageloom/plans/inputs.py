@@ -78,9 +78,9 @@ def order_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def table_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """One page per order with three tables made of its line items: a plain
-    one with links and images, one whose first cell spans all rows, and one
-    with a table inside a cell."""
+    """One page per order with tables made of its line items: a plain
+    one with links and images, one whose first cell spans all rows, and on
+    longer orders one with a table inside a cell."""
     item = F.struct(
         "l_linenumber", "l_partkey", "l_suppkey", F.col("l_quantity").cast("bigint").alias("l_quantity")
     )
@@ -112,8 +112,13 @@ def table_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
     html = F.concat(
         F.lit("<html><body><h1>Order "), key, F.lit('</h1><table><tr><th colspan="2">Order '), key,
         F.lit("</th><th>Quantity</th></tr>"), F.array_join(plain, ""), F.lit("</table><TABLE>"),
-        F.array_join(spanned, ""), F.lit("</TABLE><table><tr><td>outer <table><tr><td>inner "), key,
-        F.lit("</td></tr></table></td><td>end</td></tr></table></body></html>"),
+        F.array_join(spanned, ""), F.lit("</TABLE>"),
+        # more than three items: a table with another one in a cell
+        F.when(F.size("items") > 3, F.concat(
+            F.lit("<table><tr><td>outer <table><tr><td>inner "), key,
+            F.lit("</td></tr></table></td><td>end</td></tr></table>"),
+        )).otherwise(""),
+        F.lit("</body></html>"),
     )
     return orders.select(
         F.col("l_orderkey").alias("page_id"),

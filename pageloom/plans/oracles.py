@@ -231,7 +231,8 @@ items AS (
     cast(row_number() OVER (PARTITION BY l_orderkey ORDER BY l_linenumber, l_partkey, l_suppkey, cast(l_quantity AS bigint)) AS integer) AS i,
     cast(count(*) OVER (PARTITION BY l_orderkey) AS integer) AS n
   FROM lineitem),
-keys AS (SELECT DISTINCT l_orderkey AS page_id FROM lineitem)"""
+keys AS (SELECT DISTINCT l_orderkey AS page_id FROM lineitem),
+nesting AS (SELECT page_id FROM items GROUP BY page_id HAVING count(*) > 3)"""
 CELLS = f"""{ITEMS},
 cells AS (
   SELECT page_id, 0 AS table_no, 0 AS row, 0 AS col, 2 AS colspan, NULL::integer AS rowspan, 'Order ' || page_id AS text FROM keys
@@ -241,10 +242,10 @@ cells AS (
   UNION ALL SELECT page_id, 0, i, 2, NULL, NULL, qty::varchar FROM items
   UNION ALL SELECT page_id, 1, 0, 0, NULL, CASE WHEN n > 1 THEN n END, 'all' FROM items WHERE i = 1
   UNION ALL SELECT page_id, 1, i - 1, 1, NULL, NULL, l_suppkey::varchar FROM items
-  UNION ALL SELECT page_id, 2, 0, 0, NULL, NULL, 'outer inner ' || page_id FROM keys
-  UNION ALL SELECT page_id, 2, 0, 1, NULL, NULL, 'end' FROM keys
-  UNION ALL SELECT page_id, 2, 1, 0, NULL, NULL, 'inner ' || page_id FROM keys
-  UNION ALL SELECT page_id, 3, 0, 0, NULL, NULL, 'inner ' || page_id FROM keys),
+  UNION ALL SELECT page_id, 2, 0, 0, NULL, NULL, 'outer inner ' || page_id FROM nesting
+  UNION ALL SELECT page_id, 2, 0, 1, NULL, NULL, 'end' FROM nesting
+  UNION ALL SELECT page_id, 2, 1, 0, NULL, NULL, 'inner ' || page_id FROM nesting
+  UNION ALL SELECT page_id, 3, 0, 0, NULL, NULL, 'inner ' || page_id FROM nesting),
 numbered AS (
   SELECT *, cast(row_number() OVER (PARTITION BY page_id, table_no ORDER BY row, col) - 1 AS integer) AS cell_no FROM cells)"""
 SHOP = "https://www.shop.example.com"
@@ -313,8 +314,9 @@ ORACLES: dict[str, str] = {
         '{SHOP}/s/' || o_orderstatus || '/doc/' || o_orderkey || '.PDF|{SHOP}/Download?id=' || o_orderkey || '&s=' || o_orderstatus AS files,
         0 AS n_tables, 0 AS n_cells FROM orders
       UNION ALL SELECT page_id, '{SHOP}/o/' || page_id || '/view.jsp?lang=en', '',
-        array_to_string(list_sort(list_distinct(list('{SHOP}/f/' || l_partkey || '.PNG'))), '|'), '', 4,
-        cast(2 + 3 * count(*) + 1 + count(*) + 4 AS integer) FROM items GROUP BY page_id""",
+        array_to_string(list_sort(list_distinct(list('{SHOP}/f/' || l_partkey || '.PNG'))), '|'), '',
+        CASE WHEN count(*) > 3 THEN 4 ELSE 2 END,
+        cast(3 + 4 * count(*) + CASE WHEN count(*) > 3 THEN 4 ELSE 0 END AS integer) FROM items GROUP BY page_id""",
     # T
     "clean_text": f"SELECT doc_id, {clean('text')} AS clean FROM documents",
     "normalize_text": f"SELECT doc_id, {normal('text')} AS normal FROM documents",
