@@ -50,7 +50,11 @@ _BREAK, _LINK_ON, _LINK_OFF = "\ufdd1", "\ufdd2", "\ufdd3"
 
 
 def decode_entities_sql(e: str) -> str:
-    """Replace the known named references and all numeric references."""
+    """Replace the known named references and all numeric references.
+
+    ``e`` is used several times, so it should be a name. Text without ``&``
+    (nearly all of it) is passed on untouched.
+    """
 
     def numeric(text: str) -> str:
         acc, ref = fresh(), fresh()
@@ -67,13 +71,10 @@ def decode_entities_sql(e: str) -> str:
 
         return f"aggregate({refs}, {text}, ({acc}, {ref}) -> replace({acc}, {ref}, {let(code(ref), char)}))"
 
-    def named(text: str) -> str:
-        out = f"IF(contains({text}, '&#'), {numeric(text)}, {text})"
-        for name, char in ENTITIES.items():
-            out = f"replace({out}, {quote(name)}, {quote(char)})"
-        return f"IF(contains({text}, '&'), {out}, {text})"
-
-    return let(e, named)
+    out = f"IF(contains({e}, '&#'), {numeric(e)}, {e})"
+    for name, char in ENTITIES.items():
+        out = f"replace({out}, {quote(name)}, {quote(char)})"
+    return f"IF(contains({e}, '&'), {out}, {e})"
 
 
 def without_hidden_sql(html: str) -> str:
@@ -108,7 +109,7 @@ def attribute_sql(tag: str, name: str) -> str:
         raw = f"regexp_extract({pair}, {quote(r'(?s)^[^=]*=\s*(.*)$')}, 1)"
         quotes = quote("^[\"']|[\"']$")
         bare = f"regexp_replace({raw}, {quotes}, '')"
-        return f"IF({pair} IS NOT NULL, {decode_entities_sql(bare)}, NULL)"
+        return f"IF({pair} IS NOT NULL, {let(bare, decode_entities_sql)}, NULL)"
 
     # a cheap test spares the scan for the many tags without the attribute
     return let(tag, lambda t: f"IF(contains(lower({t}), {quote(name)}), {scan(t)}, NULL)")
@@ -156,9 +157,9 @@ def block_array_sql(html: str) -> str:
         return f"IF({text} = '', 0, size(split({text}, ' ')))"
 
     def describe(raw: str) -> str:
-        plain = clean_text_sql(decode_entities_sql(f"regexp_replace({raw}, {quote(f'[{_LINK_ON}{_LINK_OFF}]')}, '')"))
+        plain = clean_text_sql(let(f"regexp_replace({raw}, {quote(f'[{_LINK_ON}{_LINK_OFF}]')}, '')", decode_entities_sql))
         links = f"regexp_extract_all({raw}, {quote(f'{_LINK_ON}([^{_LINK_ON}{_LINK_OFF}]*)')}, 1)"
-        linked = clean_text_sql(decode_entities_sql(f"array_join({links}, ' ')"))
+        linked = clean_text_sql(let(f"array_join({links}, ' ')", decode_entities_sql))
         return let(
             f"named_struct('t', {plain}, 'l', IF(contains({raw}, {quote(_LINK_ON)}), {linked}, ''))",
             lambda b: f"named_struct('text', {b}.t, 'n_words', {word_count(f'{b}.t')}, 'n_link_words', {word_count(f'{b}.l')})",

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 # At most this many keys are treated as frequent, whatever the data size: a
 # key counts as frequent only above 1/MAX_HOT_KEYS of all rows.
@@ -38,7 +39,7 @@ def hot_keys_of_counts(counts: DataFrame, key: str, rows_per_task: int = ROWS_PE
     )
     if not hot:
         return None
-    return counts.sparkSession.createDataFrame(hot, counts.select(key).schema.add("n_parts", "int"))
+    return counts.sparkSession.createDataFrame(hot, counts.select(key).schema.add("n_parts", T.IntegerType()))
 
 
 def split_join(

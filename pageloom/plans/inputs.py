@@ -9,6 +9,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..session import spread
+
 # SQL expressions that mean the same in Spark and in the checking engine.
 ORDER_URL = (
     "'HTTP://WWW.' || o_orderstatus || '.Orders.example.com:8080/Sc/' || o_orderpriority || '//view.jsp/;v=' || "
@@ -46,18 +48,23 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def spread_table(spark: SparkSession, sf_dir: str, name: str, *columns: str) -> DataFrame:
+    """Some columns of a table, with work for all cores even if it is one file."""
+    return spread(table(spark, sf_dir, name).select(*(columns or ["*"])))
+
+
 def rules(spark: SparkSession) -> DataFrame:
     return spark.createDataFrame(RULES, "kind string, param string, value string")
 
 
 def web_urls(spark: SparkSession, sf_dir: str) -> DataFrame:
     """url: the page addresses and one address with odd parts per order."""
-    pages = table(spark, sf_dir, "pages").select("url")
-    return pages.unionByName(table(spark, sf_dir, "orders").selectExpr(f"{ORDER_URL} AS url"))
+    orders = table(spark, sf_dir, "orders").selectExpr(f"{ORDER_URL} AS url")
+    return spread(table(spark, sf_dir, "pages").select("url")).unionByName(spread(orders))
 
 
 def pages_with_depth(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return table(spark, sf_dir, "pages").withColumn("depth", F.expr(PAGE_DEPTH))
+    return spread_table(spark, sf_dir, "pages").withColumn("depth", F.expr(PAGE_DEPTH))
 
 
 def order_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -70,7 +77,7 @@ def order_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
         '<img data-original=../o/%1$s.gif><img src="/i/%1$s.jpg"><img src="/v/%1$s.png?v=1"><img alt="none"></body></html>',
         key, F.col("o_orderstatus"),
     )
-    return table(spark, sf_dir, "orders").select(
+    return spread_table(spark, sf_dir, "orders", "o_orderkey", "o_orderstatus").select(
         F.col("o_orderkey").alias("page_id"),
         F.concat(F.lit("https://www.shop.example.com/s/"), "o_orderstatus", F.lit("/v.jsp?id="), key).alias("url"),
         html.alias("html"),
@@ -113,8 +120,8 @@ def table_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.lit("<html><body><h1>Order "), key, F.lit('</h1><table><tr><th colspan="2">Order '), key,
         F.lit("</th><th>Quantity</th></tr>"), F.array_join(plain, ""), F.lit("</table><TABLE>"),
         F.array_join(spanned, ""), F.lit("</TABLE>"),
-        # more than three items: a table with another one in a cell
-        F.when(F.size("items") > 3, F.concat(
+        # more than seven items: a table with another one in a cell
+        F.when(F.size("items") > 7, F.concat(
             F.lit("<table><tr><td>outer <table><tr><td>inner "), key,
             F.lit("</td></tr></table></td><td>end</td></tr></table>"),
         )).otherwise(""),
@@ -144,7 +151,7 @@ def notice_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
         '<ul><li><a href="%5$s">next</a></li><li><a href="?article_no=0">first</a></li></ul></div></div></div></body></html>',
         key, F.col("o_orderpriority"), F.date_format("o_orderdate", "yyyy.M.d"), F.col("o_custkey").cast("string"), next_href,
     )
-    return table(spark, sf_dir, "orders").select(
+    return spread_table(spark, sf_dir, "orders").select(
         F.col("o_orderkey").alias("page_id"), notice_url(key).alias("url"), html.alias("html")
     )
 
@@ -184,7 +191,7 @@ def edges(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def two_extracts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """doc_id, a, b: the whole text, and a second extract of it."""
-    return table(spark, sf_dir, "documents").select(
+    return spread_table(spark, sf_dir, "documents", "doc_id", "text", "lang").select(
         "doc_id", F.expr(EXTRACT_A.replace("\\n", "\\\\n")).alias("a"), F.col("text").alias("b")
     )
 

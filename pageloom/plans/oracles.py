@@ -232,7 +232,7 @@ items AS (
     cast(count(*) OVER (PARTITION BY l_orderkey) AS integer) AS n
   FROM lineitem),
 keys AS (SELECT DISTINCT l_orderkey AS page_id FROM lineitem),
-nesting AS (SELECT page_id FROM items GROUP BY page_id HAVING count(*) > 3)"""
+nesting AS (SELECT page_id FROM items GROUP BY page_id HAVING count(*) > 7)"""
 CELLS = f"""{ITEMS},
 cells AS (
   SELECT page_id, 0 AS table_no, 0 AS row, 0 AS col, 2 AS colspan, NULL::integer AS rowspan, 'Order ' || page_id AS text FROM keys
@@ -315,8 +315,8 @@ ORACLES: dict[str, str] = {
         0 AS n_tables, 0 AS n_cells FROM orders
       UNION ALL SELECT page_id, '{SHOP}/o/' || page_id || '/view.jsp?lang=en', '',
         array_to_string(list_sort(list_distinct(list('{SHOP}/f/' || l_partkey || '.PNG'))), '|'), '',
-        CASE WHEN count(*) > 3 THEN 4 ELSE 2 END,
-        cast(3 + 4 * count(*) + CASE WHEN count(*) > 3 THEN 4 ELSE 0 END AS integer) FROM items GROUP BY page_id""",
+        CASE WHEN count(*) > 7 THEN 4 ELSE 2 END,
+        cast(3 + 4 * count(*) + CASE WHEN count(*) > 7 THEN 4 ELSE 0 END AS integer) FROM items GROUP BY page_id""",
     # T
     "clean_text": f"SELECT doc_id, {clean('text')} AS clean FROM documents",
     "normalize_text": f"SELECT doc_id, {normal('text')} AS normal FROM documents",

@@ -186,7 +186,7 @@ def content_key(spark, sf):
 
 
 def _hrefs(spark, sf) -> DataFrame:
-    return I.table(spark, sf, "orders").selectExpr("o_orderkey", f"{I.ORDER_BASE} AS base", f"{I.ORDER_HREF} AS href")
+    return I.spread_table(spark, sf, "orders").selectExpr("o_orderkey", f"{I.ORDER_BASE} AS base", f"{I.ORDER_HREF} AS href")
 
 
 @query
@@ -233,17 +233,17 @@ def link_base(spark, sf):
 
 @query
 def html_tokens(spark, sf):
-    return markup.tokenize(I.table(spark, sf, "pages"))
+    return markup.tokenize(I.spread_table(spark, sf, "pages"))
 
 
 @query
 def element_spans(spark, sf):
-    return markup.spans(markup.page_tokens(I.table(spark, sf, "pages")))
+    return markup.spans(markup.page_tokens(I.spread_table(spark, sf, "pages")))
 
 
 @query
 def contained_elements(spark, sf):
-    tokens = markup.page_tokens(I.table(spark, sf, "pages"))
+    tokens = markup.page_tokens(I.spread_table(spark, sf, "pages"))
     outer = markup.spans(tokens).where("tag IN ('nav', 'ul', 'li', 'article') AND end IS NOT NULL")
     inner = tokens.where("kind = 'open' AND tag IN ('a', 'li', 'p', 'h1')").select("page_id", "pos", "tag")
     return markup.contained(outer, inner)
@@ -251,7 +251,7 @@ def contained_elements(spark, sf):
 
 @query
 def page_links(spark, sf):
-    return markup.extract_links(I.table(spark, sf, "pages"), "'example.com'").select("page_id", "pos", "target")
+    return markup.extract_links(I.spread_table(spark, sf, "pages"), "'example.com'").select("page_id", "pos", "target")
 
 
 @query
@@ -283,7 +283,7 @@ def table_cell_images(spark, sf):
 
 @query
 def page_text_blocks(spark, sf):
-    return blocks.text_blocks(I.table(spark, sf, "pages"))
+    return blocks.text_blocks(I.spread_table(spark, sf, "pages"))
 
 
 @query
@@ -306,7 +306,7 @@ def page_records(spark, sf):
 
 
 def _documents(spark, sf) -> DataFrame:
-    return I.table(spark, sf, "documents").select("doc_id", "text")
+    return I.spread_table(spark, sf, "documents", "doc_id", "text")
 
 
 @query
@@ -356,7 +356,7 @@ def dedup_by_text(spark, sf):
 
 @query
 def dedup_against_history(spark, sf):
-    docs = I.table(spark, sf, "documents").select("doc_id", "text", "source")
+    docs = I.spread_table(spark, sf, "documents", "doc_id", "text", "source")
     seen = docs.where("source IN ('src1', 'src2', 'src3')").select(TX.text_fingerprint("text").alias("fp")).distinct()
     kept, new_seen = dedup.dedup_history(docs.where("source NOT IN ('src1', 'src2', 'src3')"), seen, "text", "doc_id")
     return kept.select("doc_id", "fp")
@@ -371,7 +371,7 @@ def _candidates(spark, sf) -> DataFrame:
 
 
 def _history(spark, sf) -> tuple[DataFrame, DataFrame]:
-    urls = I.table(spark, sf, "pages").select("url", U.normalize_url("url").alias("norm"))
+    urls = I.spread_table(spark, sf, "pages").select("url", U.normalize_url("url").alias("norm"))
     return (
         urls.where("url LIKE 'http://%'").select(F.col("norm").alias("url")),
         urls.where("url LIKE '%.html'").select(F.col("norm").alias("url")),
@@ -392,7 +392,7 @@ def admit_urls(spark, sf):
 def merge_extra_links(spark, sf):
     visited, parsed = _history(spark, sf)
     extra = I.web_urls(spark, sf).select("url", F.lit(None).cast("int").alias("depth")).unionByName(
-        I.table(spark, sf, "pages").select("url", F.lit(5).alias("depth"))
+        I.spread_table(spark, sf, "pages").select("url", F.lit(5).alias("depth"))
     )
     waiting = I.pages_with_depth(spark, sf).where("url LIKE '%#top'").select(U.normalize_url("url").alias("url"), "depth")
     return frontier.merge_links(waiting, extra, visited, parsed, max_depth=4)

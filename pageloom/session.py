@@ -33,6 +33,16 @@ def scratch_dir(spark: SparkSession, name: str) -> str:
     return f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
 
 
+def spread(df: DataFrame) -> DataFrame:
+    """Give every core a part of a table that is stored in few files.
+
+    Reading markup and text costs far more than reading the file, so a small
+    file must not end up in one task. Tables with enough files are untouched.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df if df.rdd.getNumPartitions() >= cores else df.repartition(cores)
+
+
 def cut_lineage(df: DataFrame) -> DataFrame:
     """Reliable checkpoint: the result is read back from the shared folder, so
     it survives the loss of executors and the plan stays short."""
