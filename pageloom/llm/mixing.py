@@ -80,7 +80,7 @@ def _fold(units, seed: int, level: int):
 
 
 def _unit(u, p):
-    return F.struct(u["id"].alias("id"), u["size"].alias("size"), F.greatest(F.lit(0.0), F.least(F.lit(1.0), p)).alias("p"), u["at"].alias("at"))
+    return F.struct(u["size"].alias("size"), u["id"].alias("id"), F.greatest(F.lit(0.0), F.least(F.lit(1.0), p)).alias("p"), u["at"].alias("at"))
 
 
 def mix(
@@ -119,7 +119,7 @@ def mix(
     n_blocks = F.greatest(F.lit(1), F.ceil(F.col("n_rows") / block))
     units = rows.where(fractional).select(
         "source",
-        F.struct("id", "size", F.col("p"), F.pmod(F.xxhash64(F.lit(seed), "id", "size"), n_blocks).alias("at")).alias("unit"),
+        F.struct("size", "id", F.col("p"), F.pmod(F.xxhash64(F.lit(seed), "id", "size"), n_blocks).alias("at")).alias("unit"),
         n_blocks.cast("long").alias("n_blocks"),
     )
     most = goal.agg(F.max("n_rows")).first()[0] or 0
@@ -128,7 +128,7 @@ def mix(
     for level in range(levels):
         folded = (
             units.groupBy("source", "unit.at", "n_blocks")
-            .agg(F.sort_array(F.collect_list("unit")).alias("units"))
+            .agg(F.sort_array(F.collect_list("unit"), asc=False).alias("units"))  # long documents first: what is left over is short
             .select("source", "n_blocks", "at", _fold(F.col("units"), seed, level).alias("out"))
         )
         folded = store(folded, f"round{level}")
@@ -138,7 +138,7 @@ def mix(
         units = folded.select(
             "source",
             F.struct(
-                left["id"].alias("id"), left["size"].alias("size"), left["p"].alias("p"), F.pmod(F.col("at"), fewer).alias("at")
+                left["size"].alias("size"), left["id"].alias("id"), left["p"].alias("p"), F.pmod(F.col("at"), fewer).alias("at")
             ).alias("unit"),
             fewer.alias("n_blocks"),
         )
