@@ -17,3 +17,31 @@ SELECT doc_id,
 FROM n
 WINDOW w AS (PARTITION BY text_sha256 ORDER BY n_chars DESC, doc_id)
 """
+
+# words as the operators take them: runs of characters other than ASCII space
+_WORDS = r"list_filter(string_split_regex({text}, '[\x20\x09-\x0D]+'), lambda x: x <> '')"
+_LOWER = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+
+
+def _jaccard(words: int, percent: int) -> str:
+    return rf"""
+WITH RECURSIVE w AS MATERIALIZED (SELECT doc_id, {_WORDS.format(text=_LOWER)} AS w FROM documents),
+s AS MATERIALIZED (
+  SELECT doc_id, unnest(CASE WHEN len(w) >= {words}
+      THEN list_distinct(list_transform(range(1, len(w) - {words - 2}), lambda i: array_to_string(w[i:i + {words - 1}], ' ')))
+      WHEN len(w) > 0 THEN [array_to_string(w, ' ')] ELSE [] END) AS g
+  FROM w),
+n AS MATERIALIZED (SELECT doc_id, count(*) AS n FROM s GROUP BY 1),
+links AS MATERIALIZED (
+  SELECT a.doc_id AS a, b.doc_id AS b FROM s a JOIN s b ON a.g = b.g AND a.doc_id <> b.doc_id
+  JOIN n na ON na.doc_id = a.doc_id JOIN n nb ON nb.doc_id = b.doc_id
+  GROUP BY 1, 2, na.n, nb.n HAVING 100 * count(*) >= {percent} * (na.n + nb.n - count(*))),
+reach(doc_id, other) AS (
+  SELECT doc_id, doc_id FROM documents
+  UNION SELECT r.doc_id, l.b FROM reach r JOIN links l ON l.a = r.other),
+c AS (SELECT doc_id, min(other) AS component_id FROM reach GROUP BY 1)"""
+
+
+ORACLES["op1_jaccard_join"] = _jaccard(4, 85) + """
+SELECT c.doc_id, coalesce(n.n, 0) AS n_shingles, component_id FROM c LEFT JOIN n ON n.doc_id = c.doc_id
+"""

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import exact_dedup, mixing
+from . import exact_dedup, jaccard_join, mixing
 from .common import documents
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -18,6 +18,13 @@ def query(fn):
     return fn
 
 
+@query
+def op1_jaccard_join(spark, sf_dir):
+    return jaccard_join.jaccard_classes(documents(spark, sf_dir), words=4, percent=85).select(
+        F.col("id").alias("doc_id"), "n_shingles", "component_id"
+    )
+
+
 @query
 def op3_mix_sources(spark, sf_dir):
     return mixing.mix(documents(spark, sf_dir)).select(
