@@ -45,3 +45,18 @@ c AS (SELECT doc_id, min(other) AS component_id FROM reach GROUP BY 1)"""
 ORACLES["op1_jaccard_join"] = _jaccard(4, 85) + """
 SELECT c.doc_id, coalesce(n.n, 0) AS n_shingles, component_id FROM c LEFT JOIN n ON n.doc_id = c.doc_id
 """
+
+ORACLES["op4_substring_dedup"] = rf"""
+WITH w AS MATERIALIZED (SELECT doc_id, {_WORDS.format(text="coalesce(text, '')")} AS w FROM documents),
+p AS MATERIALIZED (
+  SELECT doc_id, i, array_to_string(w[i:i + 19], ' ') AS g FROM (SELECT doc_id, w, unnest(range(1, len(w) - 18)) AS i FROM w)),
+r AS (SELECT doc_id, i, row_number() OVER (PARTITION BY g ORDER BY doc_id, i) AS nth FROM p),
+c AS MATERIALIZED (SELECT DISTINCT doc_id, unnest(range(i, i + 20)) AS i FROM r WHERE nth > 1),
+k AS (SELECT doc_id, unnest(w) AS word, unnest(range(1, len(w) + 1)) AS i FROM w),
+j AS (
+  SELECT k.doc_id, string_agg(k.word, ' ' ORDER BY k.i) AS kept FROM k LEFT JOIN c ON c.doc_id = k.doc_id AND c.i = k.i
+  WHERE c.i IS NULL GROUP BY 1),
+n AS (SELECT doc_id, count(*) AS n FROM c GROUP BY 1)
+SELECT w.doc_id, len(w) AS n_words, coalesce(n.n, 0) AS n_removed, sha256(coalesce(j.kept, '')) AS kept_sha256
+FROM w LEFT JOIN j ON j.doc_id = w.doc_id LEFT JOIN n ON n.doc_id = w.doc_id
+"""

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import exact_dedup, jaccard_join, mixing
+from . import exact_dedup, jaccard_join, mixing, substring_dedup
 from .common import documents
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -32,6 +32,13 @@ def op3_mix_sources(spark, sf_dir):
     )
 
 
+@query
+def op4_substring_dedup(spark, sf_dir):
+    return substring_dedup.cut_repeats(documents(spark, sf_dir), window=20).select(
+        F.col("id").alias("doc_id"), "n_words", "n_removed", F.sha2(F.encode("kept_text", "UTF-8"), 256).alias("kept_sha256")
+    )
+
+
 @query
 def op10_exact_dedup(spark, sf_dir):
     return exact_dedup.exact_groups(documents(spark, sf_dir)).select(
