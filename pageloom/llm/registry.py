@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import exact_dedup, jaccard_join, mixing, substring_dedup
+from . import exact_dedup, jaccard_join, mixing, quality, substring_dedup
 from .common import documents
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -39,6 +39,14 @@ def op4_substring_dedup(spark, sf_dir):
     )
 
 
+@query
+def op8_quality_rules(spark, sf_dir):
+    return quality.quality(documents(spark, sf_dir)).select(
+        F.col("id").alias("doc_id"), "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept",
+        "lang", "log_ppl", "low", "high",
+    )
+
+
 @query
 def op10_exact_dedup(spark, sf_dir):
     return exact_dedup.exact_groups(documents(spark, sf_dir)).select(
