@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import exact_dedup, jaccard_join, mixing, quality, substring_dedup
+from . import exact_dedup, jaccard_join, mixing, quality, sentencepiece_match, substring_dedup
 from .common import documents
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -39,6 +39,15 @@ def op4_substring_dedup(spark, sf_dir):
     )
 
 
+@query
+def op7_sentencepiece(spark, sf_dir):
+    encoded = sentencepiece_match.encode(documents(spark, sf_dir))
+    return sentencepiece_match.decode(encoded).select(
+        F.col("id").alias("doc_id"), F.size("ids").alias("n_tokens"), F.xxhash64("ids").alias("ids_hash"),
+        F.sha2(F.encode("decoded", "UTF-8"), 256).alias("decoded_sha256"),
+    )
+
+
 @query
 def op8_quality_rules(spark, sf_dir):
     return quality.quality(documents(spark, sf_dir)).select(
