@@ -37,7 +37,8 @@ from .common import store
 from .components import components
 from .shingles import WordHashes, byte_texts, shingle_sets, slices
 
-BUCKET_BYTES = 12_000_000  # text per bucket of shingle counts, about two million shingles
+BUCKET_BYTES = 8_000_000  # text per bucket of shingle counts, about 1.3 million shingles
+SLICE_DOCS = 20_000  # documents whose counts are added up in one task
 REGION_DOCS, REGION_SHINGLES = 4_000, 4_000_000  # most that one task joins
 BLOCK = 1_000  # documents per block of a larger region
 PIVOTS = 16
@@ -103,11 +104,21 @@ def _rows(bucket, id=None, n=None, key=None, head=None, heads=None, lengths=None
     )
 
 
-def _count_bucket(table: pa.Table) -> pa.Table:
-    """Pass rows of documents on; per set, how many of its shingles here are in another set too."""
+def _count_bucket(n_slices: int):
+    """Pass rows of documents on; per set, how many of its shingles here are in another set
+    too, packed by slices of sets."""
+
+    def run(table: pa.Table) -> pa.Table:
+        return _counted(table, n_slices)
+
+    return run
+
+
+def _counted(table: pa.Table, n_slices: int) -> pa.Table:
     is_row = table["heads"].is_null()
     own = table.filter(is_row).select(["id", "n", "key", "head"])
-    own = own.append_column("shared", pa.nulls(len(own), pa.int32()))
+    for name, kind in (("slice", pa.int32()), ("heads", pa.binary()), ("counts", pa.binary())):
+        own = own.append_column(name, pa.nulls(len(own), kind))
     parts = table.filter(table["heads"].is_valid())
     heads = np.concatenate([np.frombuffer(x, np.int64) for x in parts["heads"].to_pylist()] or [np.empty(0, np.int64)])
     lengths = np.concatenate([np.frombuffer(x, np.uint32) for x in parts["lengths"].to_pylist()] or [np.empty(0, np.uint32)])
@@ -126,15 +137,30 @@ def _count_bucket(table: pa.Table) -> pa.Table:
     repeated[:-1] |= same
     shared = np.bincount(of_set[order[repeated]], minlength=len(heads))
     some = np.nonzero(shared)[0]
+    part = heads[some] % n_slices
+    some = some[np.argsort(part, kind="stable")]
+    slices_, begin = np.unique(heads[some] % n_slices, return_index=True)
+    ends = np.append(begin[1:], len(some))
+    rows = len(slices_)
     counts = pa.table(
         {
-            "id": pa.nulls(len(some), table["id"].type), "n": pa.nulls(len(some), pa.int32()), "key": pa.nulls(len(some), pa.binary()),
-            "head": pa.array(heads[some]), "shared": pa.array(shared[some].astype(np.int32)),
+            "id": pa.nulls(rows, table["id"].type), "n": pa.nulls(rows, pa.int32()), "key": pa.nulls(rows, pa.binary()),
+            "head": pa.nulls(rows, pa.int64()), "slice": pa.array(slices_.astype(np.int32)),
+            "heads": pa.array([heads[some[x:y]].tobytes() for x, y in zip(begin, ends)], pa.binary()),
+            "counts": pa.array([shared[some[x:y]].astype(np.int32).tobytes() for x, y in zip(begin, ends)], pa.binary()),
         }
     )
     return pa.concat_tables([own.cast(counts.schema), counts])
 
 
+def _add_up(table: pa.Table) -> pa.Table:
+    """Sums of the counts of every set of a slice."""
+    heads = np.concatenate([np.frombuffer(x, np.int64) for x in table["heads"].to_pylist()])
+    counts = np.concatenate([np.frombuffer(x, np.int32) for x in table["counts"].to_pylist()])
+    seen, of = np.unique(heads, return_inverse=True)
+    return pa.table({"head": seen, "shared": np.bincount(of, weights=counts).astype(np.int64)})
+
+
 def _sets_of(length: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known = WordHashes()
@@ -330,15 +356,19 @@ def jaccard_classes(
         _counting_rows(words, n_buckets),
         f"bucket int, id {id_type}, n int, key binary, head long, heads binary, lengths binary, shingles binary",
     )
-    counted = dealt.groupBy("bucket").applyInArrow(_count_bucket, f"id {id_type}, n int, key binary, head long, shared int")
+    n_slices = max(1, math.ceil(rows.count() / SLICE_DOCS))
+    counted = dealt.groupBy("bucket").applyInArrow(
+        _count_bucket(n_slices), f"id {id_type}, n int, key binary, head long, slice int, heads binary, counts binary"
+    )
     counted = store(counted, "counted")
 
-    of_doc = counted.where("shared IS NULL").select("id", "n", "key", "head")
+    of_doc = counted.where("slice IS NULL").select("id", "n", "key", "head")
     points = of_doc.groupBy("key").agg(
         F.min("id").alias("first_id"), F.first("n").alias("n"), F.first("head").alias("head"), F.count("*").alias("copies")
     )
     points = store(points, "points")
-    shared = counted.where("shared IS NOT NULL").groupBy("head").agg(F.sum("shared").alias("shared"))
+    shared = counted.where("slice IS NOT NULL").select("slice", "heads", "counts")
+    shared = shared.groupBy("slice").applyInArrow(_add_up, "head long, shared long")
     chosen = points.join(shared, "head").where((F.col("n") > 0) & (100 * F.col("shared") >= percent * F.col("n")))
     texts = rows.join(chosen.select(F.col("first_id").alias("id"), "key", "head", "n"), "id")
     sets = texts.mapInArrow(_sets_of(words), "head long, n int, shingles array<long>").dropDuplicates(["head"])

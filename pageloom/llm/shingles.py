@@ -10,7 +10,7 @@ import pyarrow as pa
 import xxhash
 
 ROWS = 1000  # rows that are worked on at once
-REMEMBERED = 400_000  # words whose hash a task keeps
+REMEMBERED = 200_000  # words whose hash a task keeps
 _ODD = np.uint64(0x9E3779B97F4A7C15)
 
 
