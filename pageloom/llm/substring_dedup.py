@@ -25,8 +25,8 @@ from pyspark.sql import functions as F
 
 from .shingles import WordHashes, byte_texts, mixed, slices, word_hashes
 
-BUCKET_BYTES = 20_000_000  # text per bucket, about 3.5 million windows
-REMEMBERED = 500_000  # frequent windows that a task remembers
+BUCKET_BYTES = 8_000_000  # text per bucket, about 1.4 million windows
+REMEMBERED = 150_000  # frequent windows that a task remembers
 _ODD = np.uint64(0x9E3779B97F4A7C15)
 COLUMNS = ("bucket", "id", "fp", "spans", "docs", "runs", "windows")
 SCHEMA = "bucket int, id long, fp int, spans binary, docs binary, runs binary, windows binary"
@@ -78,7 +78,7 @@ def _spans_by_doc(doc: np.ndarray, pos: np.ndarray, window: int) -> tuple[np.nda
 def _seeds(window: int, seed: int, n_buckets: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known, frequent = WordHashes(), {}
-        for batch in slices(batches, 2000):
+        for batch in slices(batches, 800):
             batch = batch.filter(batch["id"].is_valid())
             ids, fps = batch["id"].to_numpy(), batch["fp"].to_numpy()
             h, starts = word_hashes(byte_texts(batch["text"]), known, lower=False)
