@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import exact_dedup, jaccard_join, mixing, quality, sentencepiece_match, substring_dedup
+from . import exact_dedup, jaccard_join, mixing, pii, quality, sentencepiece_match, substring_dedup
 from .common import documents
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -56,6 +56,11 @@ def op8_quality_rules(spark, sf_dir):
     )
 
 
+@query
+def op9_personal_data(spark, sf_dir):
+    return pii.digest(pii.find_personal(documents(spark, sf_dir))).withColumnRenamed("id", "doc_id")
+
+
 @query
 def op10_exact_dedup(spark, sf_dir):
     return exact_dedup.exact_groups(documents(spark, sf_dir)).select(
