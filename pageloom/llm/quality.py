@@ -114,10 +114,10 @@ def train(docs: DataFrame) -> DataFrame:
     for order in range(1, ORDER + 1):
         grams = counts[order].withColumn("context", F.substring("gram", 1, order - 1))
         ones = [F.sum((F.col("c") == i).cast("long")).alias(f"n{i}") for i in range(1, 5)]
-        y = F.col("n1") / (F.col("n1") + 2 * F.col("n2"))
+        y = F.try_divide(F.col("n1"), F.col("n1") + 2 * F.col("n2"))
 
         def discount(i):
-            value = i - (i + 1) * y * F.col(f"n{i + 1}") / F.col(f"n{i}")
+            value = i - (i + 1) * y * F.try_divide(F.col(f"n{i + 1}"), F.col(f"n{i}"))
             usable = (F.col(f"n{i}") > 0) & (F.col("n1") > 0) & value.between(0.05, i - 0.05)
             return F.when(usable, value).otherwise(F.lit(0.5 * i)).alias(f"d{i}")
 
