@@ -60,3 +60,40 @@ n AS (SELECT doc_id, count(*) AS n FROM c GROUP BY 1)
 SELECT w.doc_id, len(w) AS n_words, coalesce(n.n, 0) AS n_removed, sha256(coalesce(j.kept, '')) AS kept_sha256
 FROM w LEFT JOIN j ON j.doc_id = w.doc_id LEFT JOIN n ON n.doc_id = w.doc_id
 """
+
+_BLANK = r"[\x20\x09-\x0D]*"
+ORACLES["op2_line_dedup"] = rf"""
+WITH a AS MATERIALIZED (SELECT doc_id, string_split(coalesce(text, ''), chr(10)) AS l FROM documents),
+e AS (SELECT doc_id, unnest(l) AS line, unnest(range(1, len(l) + 1)) AS nr FROM a),
+f AS MATERIALIZED (
+  SELECT doc_id, line, nr, row_number() OVER (PARTITION BY doc_id ORDER BY nr) AS i
+  FROM e WHERE NOT regexp_full_match(line, '{_BLANK}')),
+p AS (SELECT x.doc_id, x.i, x.line AS g, y.line AS h FROM f x JOIN f y ON y.doc_id = x.doc_id AND y.i = x.i + 1),
+r AS (SELECT doc_id, i, row_number() OVER (PARTITION BY g, h ORDER BY doc_id, i) AS nth FROM p),
+c AS MATERIALIZED (SELECT DISTINCT doc_id, unnest([i, i + 1]) AS i FROM r WHERE nth > 1),
+gone AS MATERIALIZED (SELECT f.doc_id, f.nr FROM c JOIN f ON f.doc_id = c.doc_id AND f.i = c.i),
+k AS (
+  SELECT e.doc_id, string_agg(e.line, chr(10) ORDER BY e.nr) AS kept FROM e LEFT JOIN gone ON gone.doc_id = e.doc_id AND gone.nr = e.nr
+  WHERE gone.nr IS NULL GROUP BY 1),
+n AS (SELECT doc_id, count(*) AS n_lines FROM f GROUP BY 1),
+m AS (SELECT doc_id, count(*) AS n_removed FROM gone GROUP BY 1)
+SELECT a.doc_id, coalesce(n_lines, 0) AS n_lines, coalesce(n_removed, 0) AS n_removed, sha256(coalesce(kept, '')) AS kept_sha256
+FROM a LEFT JOIN k ON k.doc_id = a.doc_id LEFT JOIN n ON n.doc_id = a.doc_id LEFT JOIN m ON m.doc_id = a.doc_id
+"""
+
+ORACLES["op6_chat_format"] = """
+WITH t AS (
+  SELECT conv_id // 2 AS pair_id, conv_id % 2 = 0 AS chosen, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations),
+g AS (
+  SELECT pair_id, turn, list(role || chr(0) || text ORDER BY role, text) FILTER (chosen) AS a,
+         list(role || chr(0) || text ORDER BY role, text) FILTER (NOT chosen) AS b
+  FROM t GROUP BY 1, 2),
+p AS (
+  SELECT pair_id, min(turn) FILTER (a IS DISTINCT FROM b) AS border,
+         count(a) > 0 AND count(b) > 0 AS has_both
+  FROM g GROUP BY 1),
+c AS (SELECT t.*, has_both, has_both AND (border IS NULL OR turn < border) AS common FROM t JOIN p USING (pair_id))
+SELECT pair_id, CASE WHEN common THEN 'prompt' WHEN chosen THEN 'chosen' ELSE 'rejected' END AS side, turn, role,
+       '<|' || role || '|>' || chr(10) || text || '<|end|>' || chr(10) AS rendered, NOT common AND role = 'assistant' AS learn, has_both
+FROM c WHERE chosen OR NOT common
+"""

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import exact_dedup, jaccard_join, mixing, pii, quality, sentencepiece_match, substring_dedup
+from . import chat_format, exact_dedup, jaccard_join, language_id, line_dedup, mixing, pii, quality, sentencepiece_match, substring_dedup
 from .common import documents
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -25,6 +25,13 @@ def op1_jaccard_join(spark, sf_dir):
     )
 
 
+@query
+def op2_line_dedup(spark, sf_dir):
+    return line_dedup.cut_lines(documents(spark, sf_dir), min_lines=2).select(
+        F.col("id").alias("doc_id"), "n_lines", "n_removed", F.sha2(F.encode("kept_text", "UTF-8"), 256).alias("kept_sha256")
+    )
+
+
 @query
 def op3_mix_sources(spark, sf_dir):
     return mixing.mix(documents(spark, sf_dir)).select(
@@ -39,6 +46,17 @@ def op4_substring_dedup(spark, sf_dir):
     )
 
 
+@query
+def op5_language_id(spark, sf_dir):
+    held_out = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 4 == 2
+    return language_id.identify(documents(spark, sf_dir), held_out).withColumnRenamed("id", "doc_id")
+
+
+@query
+def op6_chat_format(spark, sf_dir):
+    return chat_format.format_pairs(chat_format.neighbours(spark.read.parquet(f"{sf_dir}/conversations.parquet")))
+
+
 @query
 def op7_sentencepiece(spark, sf_dir):
     encoded = sentencepiece_match.encode(documents(spark, sf_dir))
