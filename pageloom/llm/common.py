@@ -20,23 +20,14 @@ def store(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-def store_tagged(df: DataFrame, name: str, tag: str) -> dict[str, DataFrame]:
-    """Store one table whose column ``tag`` tells kinds of rows apart, one folder
-    per kind; gives a reader for each kind."""
-    path = scratch_dir(df.sparkSession, name)
-    df.write.partitionBy(tag).parquet(path)
-    return _Tagged(df.sparkSession, path, df.drop(tag).schema, tag)
-
-
-class _Tagged(dict):
-    def __init__(self, spark: SparkSession, path: str, schema, tag: str):
-        super().__init__()
-        self.spark, self.path, self.schema, self.tag = spark, path, schema, tag
-
-    def __missing__(self, kind: str) -> DataFrame:
-        table = self.spark.read.schema(self.schema.add(self.tag, "string")).parquet(self.path)
-        self.schema = table.drop(self.tag).schema
-        return table.where(F.col(self.tag) == kind).drop(self.tag)
+def whole_texts(docs: DataFrame, rows: int = 500) -> DataFrame:
+    """For a table whose texts go to Python: at most ``rows`` of them in one Arrow batch.
+    Spark's default of 10,000 rows is made for numbers; with long texts such a
+    batch, which is held several times over, would take gigabytes."""
+    conf, key = docs.sparkSession.conf, "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if not 0 < int(conf.get(key)) <= rows:
+        conf.set(key, rows)
+    return docs
 
 
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -33,7 +33,7 @@ import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import store
+from .common import store, whole_texts
 from .components import components
 from .shingles import WordHashes, byte_texts, shingle_sets, slices
 
@@ -348,7 +348,7 @@ def jaccard_classes(
     """
     if not 1 <= percent <= 100:
         raise ValueError("percent must be from 1 to 100")
-    rows = docs.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text"))
+    rows = whole_texts(docs).select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text"))
     id_type = rows.schema["id"].dataType.simpleString()
     size = rows.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     n_buckets = max(2, math.ceil(size / BUCKET_BYTES))

@@ -15,7 +15,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import store
+from .common import store, whole_texts
 from .shingles import slices
 
 LENGTH = 300  # n-grams per profile
@@ -142,7 +142,7 @@ def identify(
     (null too) are ``und`` with score 0, as are all when nothing was learned. Of languages
     at the same distance the first in order wins.
     """
-    rows = docs.select(
+    rows = whole_texts(docs).select(
         F.col(id_col).alias("id"), F.coalesce(held_out, F.lit(False)).alias("held_out"), F.col(text_col).cast("string").alias("text"),
         F.col(lang_col).cast("string").alias("lang"),
     )

@@ -20,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import store
+from .common import store, whole_texts
 from .shingles import slices
 
 BLANK = r"^[\x20\x09-\x0D]*$"
@@ -78,7 +78,7 @@ def cut_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", m
     """
     if min_lines < 1:
         raise ValueError("min_lines must be at least 1")
-    rows = docs.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text")).withColumn("fp", F.xxhash64("text"))
+    rows = whole_texts(docs).select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text")).withColumn("fp", F.xxhash64("text"))
     id_type = rows.schema["id"].dataType.simpleString()
     lines = F.filter(F.split("text", "\n", -1), lambda x: ~x.rlike(BLANK))
     suffixes = (

@@ -24,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import store
+from .common import store, whole_texts
 from .shingles import WordHashes, byte_texts, slices, word_hashes
 
 ORDER = 5
@@ -312,7 +312,7 @@ def quality(
     Null text has no words and fails the base rules; null lang is a language of its own.
     The band is log_middle +- (max(width * median deviation, least) + short / sqrt(word_chars)).
     """
-    rows = docs.select(
+    rows = whole_texts(docs).select(
         F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text"), F.coalesce(F.col(lang_col).cast("string"), F.lit("")).alias("lang")
     )
     id_type = rows.schema["id"].dataType.simpleString()

@@ -25,6 +25,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .common import whole_texts
 from .shingles import slices
 
 SPACE = "▁"
@@ -362,7 +363,7 @@ def _decode(shared):
 def encode(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", model: str = DEFAULT_MODEL) -> DataFrame:
     """One row per input row: id, ids (piece ids of the whole text). Null and empty
     texts have no ids. The vocabulary (some thousand pieces, a fixed file) is broadcast."""
-    rows = docs.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text"))
+    rows = whole_texts(docs).select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text"))
     shared = docs.sparkSession.sparkContext.broadcast(load(model))
     return rows.mapInArrow(_encode(shared), f"id {rows.schema['id'].dataType.simpleString()}, ids array<int>")
 

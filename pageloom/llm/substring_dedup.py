@@ -23,10 +23,11 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .common import whole_texts
 from .shingles import WordHashes, byte_texts, mixed, slices, word_hashes
 
 BUCKET_BYTES = 8_000_000  # text per bucket, about 1.4 million windows
-REMEMBERED = 150_000  # frequent windows that a task remembers
+REMEMBERED = 200_000  # frequent windows that a task remembers
 _ODD = np.uint64(0x9E3779B97F4A7C15)
 COLUMNS = ("bucket", "id", "fp", "spans", "docs", "runs", "windows")
 SCHEMA = "bucket int, id long, fp int, spans binary, docs binary, runs binary, windows binary"
@@ -78,7 +79,7 @@ def _spans_by_doc(doc: np.ndarray, pos: np.ndarray, window: int) -> tuple[np.nda
 def _seeds(window: int, seed: int, n_buckets: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known, frequent = WordHashes(), {}
-        for batch in slices(batches, 800):
+        for batch in slices(batches, 250):
             batch = batch.filter(batch["id"].is_valid())
             ids, fps = batch["id"].to_numpy(), batch["fp"].to_numpy()
             h, starts = word_hashes(byte_texts(batch["text"]), known, lower=False)
@@ -101,7 +102,7 @@ def _seeds(window: int, seed: int, n_buckets: int):
             for g in np.nonzero(count > 1)[0].tolist():
                 i = order[begin[g] : begin[g] + count[g]]
                 first = i[place[i] == least[g]][0]
-                mine = (int(ids[doc[first]]), int(pos[first]))
+                mine = (int(ids[doc[first]]) << 32) + int(pos[first])
                 before = frequent.get(int(ordered[begin[g]]))
                 if before is not None and before < mine:
                     least[g] = -1  # an earlier place has been sent
@@ -236,7 +237,7 @@ def cut_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     """
     if not 1 <= seed <= window:
         raise ValueError("seed must be from 1 to window")
-    rows = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("text"))
+    rows = whole_texts(docs).select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("text"))
     rows = rows.withColumn("fp", F.hash("text"))
     size = rows.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     n_buckets = max(1, math.ceil(size / BUCKET_BYTES))
