@@ -118,7 +118,8 @@ def _seeds(window: int, seed: int, n_buckets: int):
                     spans=pa.array(spans, pa.binary()),
                 )
             send = np.nonzero(~repeat)[0]
-            bucket = ((anchor[send] >> np.uint64(32)) * np.uint64(n_buckets) >> np.uint64(32)).astype(np.int32)
+            # anchors are least values, so most are small: mixed again, they fill all buckets alike
+            bucket = ((mixed(anchor[send]) >> np.uint64(32)) * np.uint64(n_buckets) >> np.uint64(32)).astype(np.int32)
             by = np.argsort(bucket, kind="stable")
             send, bucket = send[by], bucket[by]
             edges = np.searchsorted(bucket, np.arange(n_buckets + 1))
