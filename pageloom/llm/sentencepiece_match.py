@@ -17,11 +17,13 @@ from __future__ import annotations
 
 import heapq
 import re
+from itertools import chain
 from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -115,7 +117,7 @@ class Matcher:
             after = np.concatenate([rank[width:], np.zeros(width, np.uint64)])
             rank = np.unique((rank << np.uint64(32)) | after, return_inverse=True)[1].astype(np.uint64)
             width *= 2
-        suffixes = np.argsort(rank[:n], kind="stable")
+        suffixes = np.argsort(rank[:n])  # equal ranks have no piece between them
         ordered = [k[suffixes] for k in keys]
         begin, end = self._search(ordered, self.low, False), self._search(ordered, self.high, True)
         count = end - begin
@@ -124,14 +126,14 @@ class Matcher:
         within = np.arange(count.sum()) - np.repeat(np.cumsum(count) - count, count)
         place = suffixes[np.repeat(begin[rows], count) + within]
         row = np.repeat(rows, count)
-        by = np.argsort((place << 8) | self.length[row], kind="stable")
+        by = np.argsort((place << 8) | self.length[row])
         return np.stack([place[by], self.length[row[by]], row[by]])
 
     @staticmethod
     def _search(ordered: list[np.ndarray], wanted: np.ndarray, right: bool) -> np.ndarray:
         """Binary search of all pieces at once: how many suffixes come before each."""
-        low = np.zeros(len(wanted), np.int64)
-        high = np.full(len(wanted), len(ordered[0]), np.int64)
+        low = np.searchsorted(ordered[0], wanted[:, 0], side="left")
+        high = np.searchsorted(ordered[0], wanted[:, 0], side="right")
         while True:
             open_ = np.nonzero(low < high)[0]
             if not len(open_):
@@ -139,7 +141,7 @@ class Matcher:
             middle = (low[open_] + high[open_]) >> 1
             less = np.zeros(len(open_), bool)
             equal = np.ones(len(open_), bool)
-            for g, column in enumerate(ordered):
+            for g, column in enumerate(ordered[1:], 1):
                 value, want = column[middle], wanted[open_, g]
                 less |= equal & (value < want)
                 equal &= value == want
@@ -286,8 +288,8 @@ _UNIT = re.compile(f"{SPACE}*[^{SPACE}]+|{SPACE}+")
 class Encoder:
     """Ids of texts; remembers the units it met."""
 
-    def __init__(self, vocabulary: Vocabulary):
-        self.v, self.matcher = vocabulary, Matcher(vocabulary)
+    def __init__(self, matcher: Matcher):
+        self.v, self.matcher = matcher.v, matcher
         self._forget()
 
     def _forget(self):
@@ -305,7 +307,7 @@ class Encoder:
         split = [self.units(t) if t else [] for t in texts]
         if len(self.known) > REMEMBERED:
             self._forget()
-        new = list({u: None for s in split for u in s if u not in self.known})
+        new = [u for u in dict.fromkeys(chain.from_iterable(split)) if u not in self.known]
         values, counts, at, size = [self.values], [np.diff(self.begins)], 0, 0
         for k, unit in enumerate(new):
             size += len(unit) + 1
@@ -318,8 +320,8 @@ class Encoder:
         self.known.update(zip(new, range(base, base + len(new))))
         self.values, counts = np.concatenate(values), np.concatenate(counts)
         self.begins = np.concatenate([[0], np.cumsum(counts)])
-        get = self.known.__getitem__
-        number = np.fromiter((get(u) for s in split for u in s), np.int64, sum(map(len, split)))
+        units = map(self.known.__getitem__, chain.from_iterable(split))
+        number = np.fromiter(units, np.int64, sum(map(len, split)))
         length = counts[number]
         within = np.arange(length.sum()) - np.repeat(np.cumsum(length) - length, length)
         ids = self.values[np.repeat(self.begins[number], length) + within]
@@ -348,12 +350,20 @@ def _decode(shared):
         parts[v.unknown] = " ⁇ ".encode()
         for value, i in enumerate(v.byte_ids):
             parts[i] = bytes([value])
-        get = parts.__getitem__
+        joined = np.frombuffer(b"".join(parts), np.uint8)
+        length = np.array([len(p) for p in parts], np.int64)
+        begin = np.cumsum(length) - length
         for batch in slices(batches, 400):
-            texts = []
-            for ids in batch["ids"].to_pylist():
-                text = b"".join(map(get, ids or ())).decode("utf-8", "replace")
-                texts.append(text[1:] if v.prefix and text[:1] == " " else text)
+            lists = batch["ids"]
+            ids = lists.flatten().to_numpy()
+            per_row = np.fromiter((n or 0 for n in pc.list_value_length(lists).to_pylist()), np.int64, len(lists))
+            size = length[ids]
+            ends = np.concatenate([[0], np.cumsum(size)])
+            raw = joined[np.arange(ends[-1]) + np.repeat(begin[ids] - ends[:-1], size)].tobytes()
+            ends = ends[np.concatenate([[0], np.cumsum(per_row)])].tolist()
+            texts = [raw[a:b].decode("utf-8", "replace") for a, b in zip(ends, ends[1:])]
+            if v.prefix:
+                texts = [t[1:] if t[:1] == " " else t for t in texts]
             columns = [*(batch.column(i) for i in range(batch.num_columns)), pa.array(texts, pa.string())]
             yield pa.RecordBatch.from_arrays(columns, names=[*batch.schema.names, "decoded"])
 
@@ -364,7 +374,7 @@ def encode(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", mode
     """One row per input row: id, ids (piece ids of the whole text). Null and empty
     texts have no ids. The vocabulary (some thousand pieces, a fixed file) is broadcast."""
     rows = whole_texts(docs).select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text"))
-    shared = docs.sparkSession.sparkContext.broadcast(load(model))
+    shared = docs.sparkSession.sparkContext.broadcast(Matcher(load(model)))
     return rows.mapInArrow(_encode(shared), f"id {rows.schema['id'].dataType.simpleString()}, ids array<int>")
 
 
