@@ -316,6 +316,7 @@ def _join_large(sets: DataFrame, percent: int) -> DataFrame:
     asking = (
         seen.join(main, "region").where("root <> main").select("region", "head", "root", "shingles", F.explode("windows").alias("home"))
     )
+    asking = store(asking, "asking")  # it is counted and joined, and is no longer the same table as its partner
     blocks = seen.groupBy("region", "home").agg(F.ceil(F.count("*") / BLOCK).cast("int").alias("blocks"))
     queries = asking.groupBy("region", "home").agg(F.ceil(F.count("*") / BLOCK).cast("int").alias("queries"))
     both = store(blocks.join(queries, ["region", "home"]), "blocks")
