@@ -143,7 +143,7 @@ def block_array_sql(html: str) -> str:
     A block ends at every block-level tag, open or close, so unclosed
     paragraphs do no harm. Words inside anchors count as link words.
     """
-    marked = without_hidden_sql(html)
+    marked = f"translate({without_hidden_sql(html)}, {quote(_BREAK + _LINK_ON + _LINK_OFF)}, '')"
     for pattern, mark in (
         (r"(?is)<head\b.*?</head\s*>", ""),
         (r"(?is)</?(?:" + "|".join(BLOCK_TAGS) + r")(?=[\s/>])[^>]*>", _BREAK),

@@ -30,7 +30,7 @@ SCHEMES_WITH_RELATIVE = (
 URI_PATTERN = (
     r"(?s)^(?:([A-Za-z][A-Za-z0-9+.\-]*):)?(?://([^/?#]*))?([^?#]*)(?:\?([^#]*))?(?:#(.*))?$"
 )
-# A code point that never occurs in text; separates the matched groups.
+# A code point that is no character, and is removed from URLs; separates the matched groups.
 _CUT = "\ufdd0"
 
 
@@ -40,7 +40,7 @@ def url_parts_sql(e: str) -> str:
     Absent parts are "". ``;params`` belong to the last path segment. NULL in,
     NULL out.
     """
-    url = rf"regexp_replace(regexp_replace({e}, '^[\\x00-\\x20]+', ''), '[\\t\\r\\n]', '')"
+    url = rf"regexp_replace(regexp_replace({e}, '^[\\x00-\\x20]+', ''), '[\\t\\r\\n{_CUT}]', '')"
     marks = _CUT.join(f"${i}" for i in range(1, 6))
     groups = f"split(regexp_replace({url}, {quote(URI_PATTERN)}, {quote(marks)}), {quote(_CUT)}, -1)"
 

@@ -4,12 +4,11 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
-# At most this many keys are treated as frequent, whatever the data size: a
-# key counts as frequent only above 1/MAX_HOT_KEYS of all rows.
-MAX_HOT_KEYS = 1000
+from ..session import cut_lineage
+
 ROWS_PER_TASK = 1_000_000
+BROADCAST_KEYS = 100_000  # more frequent keys than this are joined by shuffle
 
 
 def hot_keys(df: DataFrame, key: str, rows_per_task: int = ROWS_PER_TASK) -> DataFrame | None:
@@ -25,21 +24,15 @@ def hot_keys(df: DataFrame, key: str, rows_per_task: int = ROWS_PER_TASK) -> Dat
 def hot_keys_of_counts(counts: DataFrame, key: str, rows_per_task: int = ROWS_PER_TASK) -> DataFrame | None:
     """:func:`hot_keys` when (key, n_rows) is already known.
 
-    The result has fewer than ``MAX_HOT_KEYS`` rows by construction, whatever
-    the data size, and is therefore safe to broadcast.
+    Every key above ``rows_per_task`` is in the result, which stays a table:
+    it has at most rows / ``rows_per_task`` rows.
     """
-    total = counts.agg(F.sum("n_rows")).first()[0] or 0
-    limit = max(rows_per_task, total // MAX_HOT_KEYS)
-    if total <= limit:
-        return None
-    hot = (
-        counts.where(F.col("n_rows") > limit)
-        .select(key, F.ceil(F.col("n_rows") / limit).cast("int").alias("n_parts"))
-        .collect()
+    hot = cut_lineage(
+        counts.where(F.col("n_rows") > rows_per_task).select(
+            key, F.ceil(F.col("n_rows") / rows_per_task).cast("int").alias("n_parts")
+        )
     )
-    if not hot:
-        return None
-    return counts.sparkSession.createDataFrame(hot, counts.select(key).schema.add("n_parts", T.IntegerType()))
+    return None if hot.isEmpty() else hot
 
 
 def split_join(
@@ -56,11 +49,12 @@ def split_join(
     frequent key get one of ``n_parts`` part numbers from a hash of
     ``spread_by``; right rows of such a key are repeated once per part. Other
     keys are joined as usual, so nothing is copied without need. ``how`` may be
-    inner, left, left_semi or left_anti.
+    inner, left, left_semi or left_anti. ``hot`` is broadcast only if it is small.
     """
     if hot is None:
         return left.join(right, key, how)
-    hot = F.broadcast(hot)
+    if hot.limit(BROADCAST_KEYS + 1).count() <= BROADCAST_KEYS:
+        hot = F.broadcast(hot)
     spread = F.xxhash64(*([spread_by] if spread_by else left.columns))
     left_parts = left.join(hot, key, "left").withColumn(
         "_part", F.when(F.col("n_parts").isNull(), F.lit(0)).otherwise(F.pmod(spread, F.col("n_parts")).cast("int"))

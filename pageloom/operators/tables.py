@@ -22,12 +22,13 @@ CELL = (
     "links:array<struct<href:string,text:string>>>"
 )
 TABLES = f"array<struct<table_no:int,cells:array<{CELL}>>>"
-_STATE = "struct<row:int,cursor:int,busy_until:array<int>,cols:array<int>>"
+_STATE = "struct<row:int,cursor:int,busy_until:array<bigint>,cols:array<int>>"
+MAX_WIDTH = 1_000_000  # columns of a grid; a table whose spans claim more is dropped, as one with a bad span is
 _NO_TABLES = f"cast(array() AS {TABLES})"
 
 # --- pages in order: row-local -------------------------------------------------
 # One-character marks for the start and end of tables, rows, cells, tags of
-# cells, anchors, tags of anchors, and images. They never occur in text.
+# cells, anchors, tags of anchors, and images. They are removed from the page first.
 _T, _T_END, _R, _R_END, _C, _C_TAG, _C_END, _A, _A_TAG, _A_END, _I, _I_END = (
     chr(code) for code in range(0xFDD4, 0xFDE0)
 )
@@ -42,12 +43,13 @@ def _marked_sql(html: str) -> str:
         ("a", f"{quote(_A)} || t || {quote(_A_TAG)}", quote(_A_END)),
         ("img", f"{quote(_I)} || t || {quote(_I_END)}", "''"),
     )
+    unmarked = f"translate({html}, {quote(''.join((_T, _T_END, _R, _R_END, _C, _C_TAG, _C_END, _A, _A_TAG, _A_END, _I, _I_END)))}, '')"
     tests = " ".join(
         f"WHEN rlike(t, {quote(rf'(?i)^<{name}(?=[\s/>])')}) THEN {on} WHEN rlike(t, {quote(rf'(?i)^</{name}(?=[\s/>])')}) THEN {off}"
         for name, on, off in cases
     )
     return (
-        f"array_join(transform({H.token_array_sql(html)}, t -> CASE WHEN NOT startswith(t, '<') OR t = '<'"
+        f"array_join(transform({H.token_array_sql(unmarked)}, t -> CASE WHEN NOT startswith(t, '<') OR t = '<'"
         f" THEN {H.decode_entities_sql('t')} {tests} ELSE '' END), '')"
     )
 
@@ -92,7 +94,7 @@ def table_array_sql(html: str, base: str) -> str:
 
     def total(cells: str) -> str:
         acc, x = fresh(), fresh()
-        return f"aggregate({cells}, 0, ({acc}, {x}) -> {acc} + coalesce({x}.colspan, 0))"
+        return f"aggregate({cells}, 0L, ({acc}, {x}) -> {acc} + coalesce({x}.colspan, 0))"
 
     def absolute(tag: str, name: str, parts: str) -> str:
         return let(
@@ -138,12 +140,13 @@ def table_array_sql(html: str, base: str) -> str:
                 lambda k: f"transform({cells}, (c, i) -> IF({k}[i] IS NULL, NULL, {finish('c', f'{k}[i]', parts)}))",
             )
             return (
-                f"IF(exists({cells}, c -> c.colspan IS NULL OR c.rowspan IS NULL), NULL,"
+                f"IF({width} > {MAX_WIDTH} OR exists({cells}, c -> c.colspan IS NULL OR c.rowspan IS NULL), NULL,"
                 f" {filter_array(placed, lambda c: f'{c} IS NOT NULL')})"
             )
 
         widths = f"array_max({map_array(rows, total)})"
-        return let(f"named_struct('cells', flatten({rows}), 'width', coalesce({widths}, 0))", place)
+        width = f"cast(least(coalesce({widths}, 0), {MAX_WIDTH + 1}) AS int)"
+        return let(f"named_struct('cells', flatten({rows}), 'width', {width})", place)
 
     def tables(m: str) -> str:
         def one(t: str, n: str, parts: str) -> str:
@@ -169,14 +172,14 @@ def _place_cells_sql(cells: str, width: str) -> str:
     cursor = "IF(s.row = c.row, s.cursor, 0)"
     free = f"filter(sequence(0, {width} - 1), k -> k >= {cursor} AND s.busy_until[k] <= c.row)"
     until = (
-        "transform(s.busy_until, (v, k) -> IF(k >= f AND k < f + c.colspan, greatest(v, c.row + c.rowspan), v))"
+        "transform(s.busy_until, (v, k) -> IF(k >= f AND k < f + c.colspan, greatest(v, cast(c.row AS bigint) + c.rowspan), v))"
     )
     step = (
         f"transform(array(get({free}, 0)), f -> cast(named_struct('row', c.row, 'cursor', coalesce(f + c.colspan, {width}),"
         f" 'busy_until', IF(f IS NULL, s.busy_until, {until}), 'cols', concat(s.cols, array(f))) AS {_STATE}))[0]"
     )
     start = (
-        f"cast(named_struct('row', -1, 'cursor', 0, 'busy_until', array_repeat(0, {width}), 'cols', array()) AS {_STATE})"
+        f"cast(named_struct('row', -1, 'cursor', 0, 'busy_until', array_repeat(0L, {width}), 'cols', array()) AS {_STATE})"
     )
     return f"aggregate({cells}, {start}, (s, c) -> {step}, s -> s.cols)"
 
@@ -329,11 +332,11 @@ def _tables_by_windows(pages: DataFrame, base: str) -> DataFrame:
     before = per_row.orderBy("pos").rowsBetween(Window.unboundedPreceding, -1)
     per_table = Window.partitionBy("page_id", "table_pos")
     sized = (
-        placed.withColumn("fast_col", F.coalesce(F.sum("colspan").over(before), F.lit(0)).cast("int"))
-        .withColumn("row_width", F.sum("colspan").over(per_row))
+        placed.withColumn("fast_col", F.least(F.coalesce(F.sum("colspan").over(before), F.lit(0)), F.lit(MAX_WIDTH + 1)).cast("int"))
+        .withColumn("row_width", F.least(F.coalesce(F.sum("colspan").over(per_row), F.lit(0)), F.lit(MAX_WIDTH + 1)))
         .withColumn("width", F.coalesce(F.max("row_width").over(per_table), F.lit(0)).cast("int"))
         .withColumn("bad", F.max(is_cell & (F.col("colspan").isNull() | F.col("rowspan").isNull())).over(per_table))
-        .where(~F.col("bad"))
+        .where(~F.col("bad") & (F.col("width") <= MAX_WIDTH))
     )
     # the leading fields order the cells row by row
     cell = F.struct("row", "pos", F.col("fast_col").alias("col"), "colspan", "rowspan", "items")

@@ -25,7 +25,7 @@ def read_state(spark: SparkSession, path: str) -> dict[str, DataFrame]:
     """The six state tables of one or several state files.
 
     A file holds one JSON object. Queue order is kept as ``seq``, page bodies
-    are decoded from base64, missing fields are empty, and a file that is no
+    are decoded from base64 (bytes that are no UTF-8 become U+FFFD), missing fields are empty, and a file that is no
     valid JSON counts as empty. Files are read in parallel.
     """
     try:
@@ -48,7 +48,8 @@ def read_state(spark: SparkSession, path: str) -> dict[str, DataFrame]:
         "frontier": queue("fetching_queue").select(item(0).alias("url"), item(1).cast("int").alias("depth"), "seq"),
         "pending_pages": queue("parsing_queue").select(
             item(0).alias("url"),
-            F.decode(F.unbase64(item(1)), "UTF-8").alias("html"),
+            # bodies in another encoding, which are no UTF-8, must not end the job
+            F.make_valid_utf8(F.try_to_binary(item(1), F.lit("base64")).cast("string")).alias("html"),
             item(2).cast("int").alias("depth"),
             "seq",
         ),

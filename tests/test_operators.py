@@ -7,6 +7,7 @@ import datetime
 import pytest
 from pyspark.sql import functions as F
 
+from pageloom.functions import html, urls
 from pageloom.operators import blocks, dedup, fetchlog, frontier, markup, notices, skew, tables
 from pageloom.operators import urls as url_ops
 from pageloom.plans.site_pass import run_pass
@@ -136,6 +137,7 @@ def test_new_notices_edges(spark):
     mark = lambda v: spark.createDataFrame([(v, "")], "last_article_no string, last_page_url string")
     assert [r[0] for r in notices.new_notices(rows, mark("100")).collect()] == ["101"]
     assert notices.new_notices(rows, mark(None)).count() == 0
+    assert notices.new_notices(rows, mark("100").limit(0)).count() == 4  # nothing was loaded yet
 
 
 def test_bad_notice_gives_nulls(spark):
@@ -171,6 +173,35 @@ def test_link_extraction_and_urls_need_no_shuffle(spark):
         assert "Exchange" not in df._jdf.queryExecution().executedPlan().toString()
 
 
+@pytest.mark.parametrize("nested", ["", "<table><tr><td>in</td></tr></table>"])
+def test_huge_spans_drop_their_table_only(spark, nested):
+    plain = f"<table><tr><td>a{nested}</td></tr></table>"
+    for spans in ('<td colspan="2147483647">x</td>' * 2, '<td rowspan="2" colspan="200000000">x</td>'):
+        page = f"<table><tr>{spans}</tr><tr><td>y</td></tr></table>{plain}"
+        found = str(tables.extract_tables(spark.createDataFrame([(1, "https://a.com/", page)], PAGE)).collect())
+        assert "text='y'" not in found and "text='a" in found
+    tall = '<table><tr><td rowspan="2147483647">t</td></tr><tr><td>u</td><td>w</td></tr></table>'
+    found = str(tables.extract_tables(spark.createDataFrame([(1, "https://a.com/", tall)], PAGE)).collect())
+    assert "text='t'" in found
+
+
+def test_literal_marks_are_no_structure(spark):
+    row = spark.createDataFrame([("https://a.com/\ufdd0x", "one\ufdd1two")], "u string, h string").select(
+        html.block_array("h").alias("b"), urls.netloc("u").alias("host")
+    ).first()
+    assert [b.text for b in row.b] == ["onetwo"] and row.host == "a.com"
+
+
+def test_state_body_in_another_encoding(spark, tmp_path):
+    (tmp_path / "s.json").write_text('{"parsing_queue": [["w", "yPm+/A==", 1]]}')
+    assert len(state.read_state(spark, str(tmp_path))["pending_pages"].collect()) == 1
+
+
+def test_every_frequent_key_is_split(spark):
+    left = spark.range(12_000).select((F.col("id") % 1200).alias("k"))
+    assert skew.hot_keys(left, "k", rows_per_task=9).count() == 1200
+
+
 def test_state_file(spark, tmp_path):
     good = '{"fetching_queue": [["u", 2], ["v", 0]],\n "parsing_queue": [["w", "PGI+", 1]], "visited": ["u"]}'
     (tmp_path / "good.json").write_text(good)

@@ -18,7 +18,7 @@ def con():
     return connect(SF_DIR)
 
 
-@pytest.mark.parametrize("name", sorted(entry_points.queries()))
+@pytest.mark.parametrize("name", sorted(entry_points.oracle_sql()))
 def test_query(spark, con, name):
     ok, note = compare(spark, con, name, entry_points.queries()[name], entry_points.oracle_sql()[name], SF_DIR)
     assert ok, note
