@@ -17,9 +17,9 @@ from __future__ import annotations
 
 import heapq
 import re
-from itertools import chain
 from collections.abc import Iterator
 from dataclasses import dataclass
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -102,8 +102,7 @@ class Matcher:
             self.table[ord(c)] = k
 
     def edges(self, codes: np.ndarray) -> np.ndarray:
-        """All occurrences of pieces in the coded text, as position << 21 | length << 16 | row
-        of the piece when these fit, sorted: (position, length, row) columns."""
+        """All occurrences of pieces in the coded text by position: (position, length, row of the piece)."""
         n = len(codes)
         padded = np.concatenate([codes, np.zeros(4 * self.groups + 4, np.uint16)]).astype(np.uint64)
         four = np.zeros(n + 4 * self.groups, np.uint64)
