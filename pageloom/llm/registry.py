@@ -7,9 +7,14 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chat_format, exact_dedup, jaccard_join, language_id, line_dedup, mixing, pii, quality, sentencepiece_match, substring_dedup
+from . import (
+    chat_format, exact_dedup, hard_negatives, jaccard_join, language_id, license_scan, line_dedup, mixing, pii, quality,
+    sentencepiece_match, substring_dedup, token_alignment,
+)
 from .common import documents
 
+BYTE_BPE, PIECE_BPE = "/opt/tokenizers/byte_bpe_50k.json", "/opt/tokenizers/piece_bpe_32k.model"
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 
 
@@ -84,3 +89,26 @@ def op10_exact_dedup(spark, sf_dir):
     return exact_dedup.exact_groups(documents(spark, sf_dir)).select(
         F.col("id").alias("doc_id"), "keep_id", "group_size", "kept", F.lower(F.hex("digest")).alias("text_sha256")
     )
+
+
+@query
+def op11_license_scan(spark, sf_dir):
+    return license_scan.places(license_scan.scan(documents(spark, sf_dir))).select(
+        F.col("id").alias("doc_id"), "n_words", "n_base", "first_word", "last_word", "base_labels", "labels", "score"
+    )
+
+
+@query
+def op12_token_alignment(spark, sf_dir):
+    aligned = token_alignment.align(documents(spark, sf_dir), BYTE_BPE, PIECE_BPE)
+    digest = F.when(F.col("n_groups") > 0, F.sha2("groups", 256)).otherwise("")
+    return token_alignment.with_link_counts(aligned.withColumn("groups_sha256", digest).drop("groups")).select(
+        F.col("id").cast("long").alias("doc_id"), "n_a", "n_b", "n_groups", "n_links", "n_best", "count_sum", "groups_sha256"
+    )
+
+
+@query
+def op13_hard_negatives(spark, sf_dir):
+    vectors = spark.read.parquet(f"{sf_dir}/embeddings.parquet")
+    label = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return hard_negatives.mine(vectors, F.col("vec_id") % 100 == 0, label=label)
