@@ -19,7 +19,7 @@ from pyspark.sql import functions as F
 
 from .common import store
 
-GRAM = 5  # words of a gram
+GRAM = 4  # words of a gram: two neighbouring phrase grams
 PHRASE_GRAM = 2  # the same for templates below LONG words
 LONG = 8
 SLACK = 12  # words by which neighbouring diagonals may differ
@@ -104,21 +104,41 @@ TEMPLATES = (
 def words_of(text: Column) -> Column:
     """Words in lower case (A-Z only); no words for null."""
     lowered = F.translate(F.coalesce(text, F.lit("")), UPPER, LOWER)
-    return F.filter(F.split(lowered, BETWEEN_WORDS, -1), lambda w: w != "")
+    return F.array_remove(F.split(lowered, BETWEEN_WORDS, -1), "")
 
 
-def _grams(words: Column, length: int) -> Column:
-    """array of (pos, hash) of all rolling grams; the length is part of the hash."""
+def _bound(value: Column, body) -> Column:
+    """``body`` of a value that is computed once per row."""
+    return F.get(F.transform(F.array(value), body), F.lit(0))
 
-    def rolled(hashes: Column) -> Column:
-        return F.transform(
-            F.sequence(F.lit(0), F.size(words) - length),
-            lambda i: F.struct(i.alias("pos"), F.xxhash64(F.lit(length), *[F.get(hashes, i + n) for n in range(length)]).alias("hash")),
+
+def _paired(hashes: Column, step: int) -> Column:
+    """The hash of each element and the one ``step`` behind it, where there is one."""
+    both = F.transform(hashes, lambda x, i: F.xxhash64(F.lit(step), x, F.get(hashes, i + step)))
+    return F.slice(both, F.lit(1), F.greatest(F.size(hashes) - step, F.lit(0)))
+
+
+def _grams(words: Column, lengths: list[int]) -> Column:
+    """The hashes of all rolling grams of each length, one list per length."""
+
+    def rolled(single: Column) -> Column:
+        return _bound(
+            _paired(single, 1),
+            lambda double: F.array(*[{1: single, PHRASE_GRAM: double, GRAM: _paired(double, PHRASE_GRAM)}[n] for n in lengths]),
         )
 
-    # bound once: the hashes would otherwise be made anew for every gram
-    bound = F.get(F.transform(F.array(F.transform(words, lambda w: F.xxhash64(w))), rolled), F.lit(0))
-    return F.when(F.size(words) >= length, bound).otherwise(F.array().cast("array<struct<pos:int,hash:bigint>>"))
+    return _bound(F.transform(words, lambda w: F.xxhash64(w)), rolled)
+
+
+def _gram_rows(rows: DataFrame, lengths: list[int]) -> DataFrame:
+    """The other columns with pos and hash: one row per gram."""
+    others = [c for c in rows.columns if c != "words"]
+    listed = rows.select(*others, _grams(F.col("words"), lengths).alias("grams"))
+    # where the list of each length begins in the row of all lists
+    begins = [sum((F.size(F.get("grams", F.lit(k))) for k in range(i)), F.lit(0)) for i in range(len(lengths))]
+    every = listed.select(*others, *[b.alias(f"begin_{i}") for i, b in enumerate(begins)], F.posexplode(F.flatten("grams")).alias("at", "hash"))
+    begin = F.greatest(F.lit(0), *[F.when(F.col("at") >= F.col(f"begin_{i}"), F.col(f"begin_{i}")) for i in range(len(lengths))])
+    return every.select(*others, (F.col("at") - begin).alias("pos"), "hash")
 
 
 def _gram_length(n_words: Column | int):
@@ -138,8 +158,7 @@ def _template_grams(spark: SparkSession, words: list[list[str]]) -> DataFrame:
     """template, tpos, hash; broadcast if it is proven small."""
     table = spark.createDataFrame([(i, w) for i, w in enumerate(words)], "template int, words array<string>")
     parts = [
-        table.where(_gram_length(F.size("words")) == n).select("template", F.inline(_grams(F.col("words"), n)))
-        for n in sorted({_gram_length(len(w)) for w in words if w})
+        _gram_rows(table.where(_gram_length(F.size("words")) == n), [n]) for n in sorted({_gram_length(len(w)) for w in words if w})
     ]
     grams = parts[0]
     for part in parts[1:]:
@@ -152,7 +171,7 @@ def diagonals(rows: DataFrame, words: list[list[str]]) -> DataFrame:
     """(row, words) -> row, template, diagonal, first, last, votes: the first and last
     template position that a hit on the diagonal covers."""
     lengths = sorted({_gram_length(len(w)) for w in words if w})
-    grams = rows.select("row", F.inline(F.concat(*[_grams(F.col("words"), n) for n in lengths])))
+    grams = _gram_rows(rows.select("row", "words"), lengths)
     of_template = F.element_at(F.lit([_gram_length(len(w)) for w in words]), F.col("template") + 1)
     return (
         grams.join(_template_grams(rows.sparkSession, words), "hash")
