@@ -16,6 +16,7 @@ from __future__ import annotations
 import json
 import os
 import re
+from bisect import bisect_left
 from collections.abc import Iterator
 from itertools import chain
 from typing import NamedTuple
@@ -29,7 +30,7 @@ from ..operators.skew import hot_keys_of_counts, split_join
 from .common import store, whole_texts
 from .shingles import slices
 
-REMEMBERED = 200_000  # units a task keeps; longer ones than MOST_CHARS are never kept
+REMEMBERED = 300_000  # units a task keeps before it starts anew, MOST_CHARS characters each on average
 MOST_CHARS = 40
 WINDOW = 1 << 20  # bytes whose ends are in the dictionaries at one time
 ROWS = 100  # documents that are worked on at once
@@ -39,16 +40,6 @@ _CUT = re.compile(r"(?<=\S) (?=\S)")
 _MARK = "▁"  # stands for a space in pieces
 
 
-class Unit(NamedTuple):
-    """An aligned unit; ``groups`` is None if the tokens do not spell the unit."""
-
-    n_a: int
-    n_b: int
-    n_groups: int
-    groups: str | None
-    links: list[int]
-
-
 def byte_alphabet() -> dict[str, int]:
     """The byte each character of a byte-level vocabulary stands for: printable
     Latin-1 characters are their own byte, the other bytes follow from U+0100 on."""
@@ -61,42 +52,78 @@ def piece_bytes(piece: str, is_byte: bool) -> bytes:
     return bytes([int(piece[1:-1], 16)]) if is_byte else piece.replace(_MARK, " ").encode()
 
 
-def common_ends(ends_a: np.ndarray, ends_b: np.ndarray, window: int = WINDOW) -> Iterator[tuple[int, int]]:
+def common_ends(ends_a: list[int], ends_b: list[int], window: int = WINDOW) -> Iterator[tuple[int, int]]:
     """Index of the last token of each side at every byte offset where both end, in order.
 
     ``ends_a`` and ``ends_b`` ascend. The dictionaries hold one window of bytes at a time.
     """
-    last = max([0, *ends_a[-1:].tolist(), *ends_b[-1:].tolist()])
+    last = max(ends_a[-1] if ends_a else 0, ends_b[-1] if ends_b else 0)
+    a = b = 0
     for low in range(0, last + 1, window):
-        (a, a_stop), (b, b_stop) = (np.searchsorted(e, [low, low + window]).tolist() for e in (ends_a, ends_b))
-        at_a = dict(zip(ends_a[a:a_stop].tolist(), range(a, a_stop)))
-        at_b = dict(zip(ends_b[b:b_stop].tolist(), range(b, b_stop)))
+        a_stop, b_stop = bisect_left(ends_a, low + window), bisect_left(ends_b, low + window)
+        at_a, at_b = dict(zip(ends_a[a:a_stop], range(a, a_stop))), dict(zip(ends_b[b:b_stop], range(b, b_stop)))
         for end in sorted(at_a.keys() & at_b.keys()):
             yield at_a[end], at_b[end]
-
-
-def _back(ends: np.ndarray, first: int, last: int) -> int:
-    """The first token of a slice that ends where its last one does; more than one if some have no bytes."""
-    while last > first and ends[last - 1] == ends[last]:
-        last -= 1
-    return last
-
-
-def aligned_unit(ids_a: list[int], ids_b: list[int], size_a: np.ndarray, size_b: np.ndarray) -> Unit:
-    """Groups and links of two id lists that spell the same bytes."""
-    ends_a, ends_b = np.cumsum(size_a[ids_a]), np.cumsum(size_b[ids_b])
-    groups, links, a, b = [], [], 0, 0
-    for last_a, last_b in common_ends(ends_a, ends_b):
-        slice_a, slice_b = ids_a[a : last_a + 1], ids_b[b : last_b + 1]
-        groups.append(",".join(map(str, slice_a)) + "|" + ",".join(map(str, slice_b)))
-        ending_a, ending_b = ids_a[_back(ends_a, a, last_a) : last_a + 1], ids_b[_back(ends_b, b, last_b) : last_b + 1]
-        links += [i << 32 | j for i in ending_a for j in ending_b]
-        a, b = last_a + 1, last_b + 1
-    return Unit(len(ids_a), len(ids_b), len(groups), ";".join(groups), links)
+        a, b = a_stop, b_stop
+
+
+def ragged(begin: np.ndarray, length: np.ndarray) -> np.ndarray:
+    """begin, begin + 1, ... of every range, one range after the other."""
+    before = np.cumsum(length) - length
+    return np.arange(int(length.sum())) + np.repeat(begin - before, length)
+
+
+class Aligned(NamedTuple):
+    """Aligned units, numbered: counts, groups as text, and links from ``begin`` on."""
+
+    n_a: np.ndarray
+    n_b: np.ndarray
+    n_groups: np.ndarray
+    n_links: np.ndarray
+    links: np.ndarray
+    groups: list[str]
+
+
+class Sides:
+    """The bytes and the printed ids of both vocabularies."""
+
+    def __init__(self, bytes_a: list[bytes], bytes_b: list[bytes]):
+        self.size_a, self.size_b = (np.array([len(x) for x in side], np.int64) for side in (bytes_a, bytes_b))
+        # an id and what follows it: inside its side, at the end of side A, of a group, of a unit
+        self.printed = [f"{i}{mark}" for mark in ",|;\n" for i in range(max(len(bytes_a), len(bytes_b)))]
+
+    def align(self, ids_a: list[list[int]], ids_b: list[list[int]]) -> Aligned:
+        """Groups and links of units, given as two id lists each that spell the same bytes."""
+        n_a, n_b = (np.array([len(x) for x in ids], np.int64) for ids in (ids_a, ids_b))
+        unit_a, unit_b = np.repeat(np.arange(len(n_a)), n_a), np.repeat(np.arange(len(n_b)), n_b)
+        flat_a, flat_b = (np.fromiter(chain.from_iterable(ids), np.int64) for ids in (ids_a, ids_b))
+        # one more byte between units, so that no token ends where another unit's does
+        ends_a, ends_b = np.cumsum(self.size_a[flat_a]) + unit_a, np.cumsum(self.size_b[flat_b]) + unit_b
+        cuts = np.fromiter(chain.from_iterable(common_ends(ends_a.tolist(), ends_b.tolist())), np.int64).reshape(-1, 2)
+        last_a, last_b = cuts[:, 0], cuts[:, 1]
+        # within a slice, tokens end together where it ends: the last ones, or more if some have no bytes
+        first_a, first_b = np.searchsorted(ends_a, ends_a[last_a]), np.searchsorted(ends_b, ends_b[last_b])
+        of_a, of_b = last_a - first_a + 1, last_b - first_b + 1
+        within = ragged(np.zeros(len(cuts), np.int64), of_a * of_b)
+        wide = np.repeat(of_b, of_a * of_b)
+        i, j = (np.repeat(first, of_a * of_b) + step for first, step in ((first_a, within // wide), (first_b, within % wide)))
+        n_groups = np.bincount(unit_a[last_a], minlength=len(n_a))
+        n_links = np.bincount(unit_a[i], minlength=len(n_a))
+        # print: the tokens of A stand behind the B tokens of all earlier groups, those of B behind A's of theirs
+        before_a, before_b = (np.concatenate(([0], last + 1)) for last in (last_a, last_b))
+        group_a, group_b = np.searchsorted(last_a, np.arange(len(flat_a))), np.searchsorted(last_b, np.arange(len(flat_b)))
+        kind, most = np.zeros(len(flat_a) + len(flat_b), np.int64), len(self.printed) // 4
+        at_a, at_b = np.arange(len(flat_a)) + before_b[group_a], np.arange(len(flat_b)) + before_a[group_b + 1]
+        kind[at_a[last_a]], kind[at_b[last_b]] = 1, 2
+        kind[at_b[np.cumsum(n_b)[n_b > 0] - 1]] = 3
+        tokens = np.empty(len(kind), np.int64)
+        tokens[at_a], tokens[at_b] = flat_a, flat_b
+        groups = "".join(map(self.printed.__getitem__, (tokens + kind * most).tolist())).split("\n")[:-1]
+        return Aligned(n_a, n_b, n_groups, n_links, flat_a[i] << 32 | flat_b[j], groups)
 
 
 class Tokenizers:
-    """Both tokenizers, the bytes of their tokens, and the units met so far."""
+    """Both tokenizers, and the units met so far."""
 
     def __init__(self, vocabulary: str, model: bytes):
         import sentencepiece
@@ -115,29 +142,48 @@ class Tokenizers:
         self.bytes_b = [piece_bytes(p, self.b.is_byte(i)) for i, p in enumerate(pieces)]
         # a piece with a space behind another character could reach over a cut
         self.cuts = not any(_MARK in p.lstrip(_MARK) for p in pieces)
-        self.size_a, self.size_b = (np.array([len(x) for x in b], np.int64) for b in (self.bytes_a, self.bytes_b))
-        self.known: dict[str, Unit] = {}
+        self.sides = Sides(self.bytes_a, self.bytes_b)
+        self.known: dict[str, int] = {}  # number of a unit, -1 if its tokens do not spell it
+        self.table: Aligned | None = None
+        self.chars = 0
 
     def units(self, text: str) -> list[str]:
         """The text in units; each is encoded behind one space."""
         return _CUT.split(text) if self.cuts else [text]
 
-    def align(self, wanted: set[str]) -> dict[str, Unit]:
-        """All wanted units, those not remembered encoded together."""
-        found = {u: self.known[u] for u in wanted if u in self.known}
-        new = [u for u in wanted if u not in found]
+    def learn(self, units: set[str]) -> None:
+        """Number, encode and align units that are not known yet."""
+        if len(self.known) + len(units) > REMEMBERED or self.chars > MOST_CHARS * REMEMBERED:
+            self.known, self.table, self.chars = {}, None, 0
+        new = [u for u in units if u not in self.known]
         if not new:
-            return found
-        as_a = self.a.encode_batch([" " + u for u in new], add_special_tokens=False)
-        as_b = self.b.encode(new, num_threads=1)
-        for u, a, b in zip(new, as_a, as_b):
-            plain, ids_a = (" " + u).encode(), a.ids
-            spelt = b"".join(map(self.bytes_a.__getitem__, ids_a)) == plain == b"".join(map(self.bytes_b.__getitem__, b))
-            unit = aligned_unit(ids_a, b, self.size_a, self.size_b) if spelt else Unit(0, 0, 0, None, [])
-            found[u] = unit
-            if len(u) <= MOST_CHARS and len(self.known) < REMEMBERED:
-                self.known[u] = unit
-        return found
+            return
+        self.chars += sum(map(len, new))
+        encoded_a = [e.ids for e in self.a.encode_batch([" " + u for u in new], add_special_tokens=False)]
+        encoded_b = self.b.encode(new, num_threads=1)
+        good, bad = self.spelt(new, encoded_a, encoded_b)
+        start = 0 if self.table is None else len(self.table.groups)
+        self.known.update(zip([new[i] for i in good], range(start, start + len(good))))
+        self.known.update((new[i], -1) for i in bad)
+        if good:
+            found = self.sides.align([encoded_a[i] for i in good], [encoded_b[i] for i in good])
+            old = self.table
+            self.table = found if old is None else Aligned(*(
+                x + y if isinstance(x, list) else np.concatenate((x, y)) for x, y in zip(old, found)
+            ))
+
+    def spelt(self, units: list[str], ids_a: list[list[int]], ids_b: list[list[int]]) -> tuple[list[int], list[int]]:
+        """Which units both sides' tokens spell, and which not."""
+
+        def joined(table: list[bytes], ids: list[int]) -> bytes:
+            return b"".join(map(table.__getitem__, ids))
+
+        bad = [
+            n for n, (u, a, b) in enumerate(zip(units, ids_a, ids_b))
+            if not joined(self.bytes_a, a) == (" " + u).encode() == joined(self.bytes_b, b)
+        ]
+        gone = set(bad)
+        return [n for n in range(len(units)) if n not in gone], bad
 
 
 _loaded: dict[int, Tokenizers] = {}
@@ -152,31 +198,38 @@ def loaded(shared) -> Tokenizers:
     return _loaded[key]
 
 
+def _sums(values: np.ndarray, lengths: list[int]) -> np.ndarray:
+    total = np.concatenate(([0], np.cumsum(values)))
+    stop = np.cumsum(lengths)
+    return total[stop] - total[stop - lengths]
+
+
 def _aligner(shared):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         both = loaded(shared)
         for batch in slices(batches, ROWS):
             texts = [both.units(t) if t else [] for t in batch["text"].to_pylist()]
-            units = both.align(set(chain.from_iterable(texts)))
-            numbers, groups, pairs, times, begin = [], [], [], [], [0]
-            for text in texts:
-                own = list(map(units.__getitem__, text))
-                if any(u.groups is None for u in own):
-                    own = []
-                numbers.append((sum(u.n_a for u in own), sum(u.n_b for u in own), sum(u.n_groups for u in own)))
-                groups.append(";".join([u.groups for u in own]))
-                pair, n = np.unique(np.fromiter(chain.from_iterable([u.links for u in own]), np.int64), return_counts=True)
-                pairs.append(pair)
-                times.append(n)
-                begin.append(begin[-1] + len(pair))
-            pair = np.concatenate(pairs)
+            both.learn(set(chain.from_iterable(texts)))
+            numbers = [list(map(both.known.__getitem__, text)) for text in texts]
+            numbers = [[] if -1 in n else n for n in numbers]
+            lengths = [len(n) for n in numbers]
+            at, table = np.fromiter(chain.from_iterable(numbers), np.int64), both.table
+            if table is None:  # no text with tokens so far
+                table = Aligned(*[np.empty(0, np.int64)] * 5, [])
+            n_links = table.n_links[at]
+            linked = table.links[ragged((np.cumsum(table.n_links) - table.n_links)[at], n_links)]
+            stop = np.cumsum(_sums(n_links, lengths))
+            counted = [np.unique(x, return_counts=True) for x in np.split(linked, stop[:-1])]
+            pair = np.concatenate([p for p, _ in counted])
             links = pa.StructArray.from_arrays(
-                [pa.array((pair >> 32).astype(np.int32)), pa.array((pair & 0xFFFFFFFF).astype(np.int32)), pa.array(np.concatenate(times).astype(np.int32))],
+                [pa.array(x.astype(np.int32)) for x in (pair >> 32, pair & 0xFFFFFFFF, np.concatenate([n for _, n in counted]))],
                 names=["a", "b", "n"],
             )
-            n_a, n_b, n_groups = (pa.array(list(x), pa.int64()) for x in zip(*numbers))
+            begin = np.concatenate(([0], np.cumsum([len(p) for p, _ in counted]))).astype(np.int32)
+            counts = [pa.array(_sums(x[at], lengths)) for x in (table.n_a, table.n_b, table.n_groups)]
+            groups = [";".join(map(table.groups.__getitem__, n)) for n in numbers]
             yield pa.RecordBatch.from_arrays(
-                [batch["id"], n_a, n_b, n_groups, pa.array(groups, pa.string()), pa.ListArray.from_arrays(pa.array(begin, pa.int32()), links)],
+                [batch["id"], *counts, pa.array(groups, pa.string()), pa.ListArray.from_arrays(pa.array(begin), links)],
                 names=["id", "n_a", "n_b", "n_groups", "groups", "links"],
             )
 

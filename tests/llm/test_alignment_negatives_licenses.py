@@ -101,17 +101,20 @@ def test_alignment_of_an_empty_table(spark):
 
 def test_ends_meet_across_windows():
     random.seed(2)
-    a, b = (np.cumsum([random.choice([0, 1, 1, 2, 5]) for _ in range(400)]) for _ in range(2))
-    last = [(int(np.nonzero(a == e)[0][-1]), int(np.nonzero(b == e)[0][-1])) for e in sorted(set(a.tolist()) & set(b.tolist()))]
+    a, b = (np.cumsum([random.choice([0, 1, 1, 2, 5]) for _ in range(400)]).tolist() for _ in range(2))
+    last = [(len(a) - 1 - a[::-1].index(e), len(b) - 1 - b[::-1].index(e)) for e in sorted(set(a) & set(b))]
     for window in (1, 7, 100, 1 << 20):
         assert list(token_alignment.common_ends(a, b, window)) == last
 
 
 def test_tokens_without_bytes_end_together():
-    size = np.array([0, 1, 2])
-    unit = token_alignment.aligned_unit([1, 0, 2], [2, 1, 0], size, size)
-    # bytes: A 1|1+0|3, B 2|3+0: only the end at 3 is common to both
-    assert unit.groups == "1,0,2|2,1,0" and unit.links == [2 << 32 | 1, 2 << 32]
+    sides = token_alignment.Sides([b"", b"a", b"aa"], [b"", b"a", b"aa"])
+    found = sides.align([[1, 0, 2], [0, 1], [1, 1, 0, 0]], [[2, 1, 0], [1], [1, 0, 1, 0]])
+    # bytes of the first unit: A ends at 1, 1, 3 and B at 2, 3, 3
+    assert found.groups == ["1,0,2|2,1,0", "0,1|1", "1|1,0;1,0,0|1,0"] and found.n_groups.tolist() == [1, 1, 2]
+    pairs = [(x >> 32, x & 0xFFFFFFFF) for x in found.links.tolist()]
+    assert pairs == [(2, 1), (2, 0), (1, 1), (1, 1), (1, 0), (1, 1), (1, 0), (0, 1), (0, 0), (0, 1), (0, 0)]
+    assert found.n_links.tolist() == [2, 1, 8]
 
 
 # --- vectors ---------------------------------------------------------------------
