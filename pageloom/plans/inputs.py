@@ -36,6 +36,17 @@ EXTRACT_A = (
     "CASE lang WHEN 'fr' THEN upper(text) WHEN 'es' THEN regexp_extract(text, '^[^\\n]*', 0) "
     "ELSE regexp_replace(text, '^[^\\n]*\\n', '') END"
 )
+CUSTOMER_TEXT = (
+    "CASE WHEN c_custkey % 5 = 0 THEN 'This customer page is under construction and will be filled with content some time soon' "
+    "ELSE 'Customer ' || cast(c_custkey as string) || ' of nation ' || cast(c_nationkey as string) || ' belongs to the market segment ' || "
+    "c_mktsegment || ' and has placed some orders here' END"
+)
+ORDER_TEXT = (
+    "CASE WHEN o_orderstatus = 'P' THEN NULL WHEN o_orderpriority = '5-LOW' THEN 'An order of low priority by customer ' || "
+    "cast(o_custkey as string) || ' whose details are to be had from our service staff' "
+    "ELSE 'Order ' || cast(o_orderkey as string) || ' was placed by customer ' || cast(o_custkey as string) || "
+    "' and has been handled by our staff with due care' END"
+)
 BOARD_URL = "https://www.board.example.com/sc/notice.jsp"
 RULES = [
     ("url", None, "https://spam-farm.example.org/"),
@@ -216,3 +227,54 @@ def document_records(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.array().cast("array<string>").alias("files"),
         F.lit(None).cast("string").alias("tables"),
     )
+
+
+SHOP = "https://www.shop.example.com"
+WALK_RULES = [("path", None, "/private")]
+
+
+def walk_rules(spark: SparkSession) -> DataFrame:
+    return spark.createDataFrame(WALK_RULES, "kind string, param string, value string")
+
+
+def site_seeds(spark: SparkSession) -> DataFrame:
+    return spark.range(1, 10).select(F.concat(F.lit(f"{SHOP}/c/"), F.col("id").cast("string"), F.lit("#top")).alias("url"))
+
+
+def site_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A site with one page per customer and per order.
+
+    Customer k links to customers 10k to 10k + 9, to its orders, and to a page that the rules forbid; an order
+    links back to its customer and to a page that was never fetched. Some customers share one text, as do a
+    customer's orders of low priority; some orders have no text.
+    """
+    customer, order = F.col("c_custkey").cast("string"), F.col("o_orderkey").cast("string")
+    orders = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_orderstatus", "o_orderpriority", "o_orderdate")
+    anchors = orders.groupBy(F.col("o_custkey").alias("c_custkey")).agg(
+        F.array_join(F.sort_array(F.collect_list(F.concat(F.lit('<a href="/o/'), order, F.lit('#top">order</a> ')))), "").alias("anchors")
+    )
+    children = F.array_join(
+        F.transform(
+            F.sequence(F.col("c_custkey") * 10, F.col("c_custkey") * 10 + 9),
+            lambda k: F.concat(F.lit('<li><a href="../c/'), k.cast("string"), F.lit('">next</a></li>')),
+        ),
+        "",
+    )
+    customers = table(spark, sf_dir, "customer").select("c_custkey", "c_nationkey", "c_mktsegment").join(anchors, "c_custkey", "left").select(
+        (F.col("c_custkey") * 2).alias("page_id"),
+        F.concat(F.lit(f"{SHOP}/c/"), customer).alias("url"),
+        F.concat(
+            F.lit("<html><body><p>"), F.expr(CUSTOMER_TEXT), F.lit("</p><ul>"), children, F.lit('</ul><div><a href="/private/'), customer,
+            F.lit('">account</a> '), F.coalesce("anchors", F.lit("")), F.lit("</div></body></html>"),
+        ).alias("html"),
+    )
+    order_pages = orders.select(
+        (F.col("o_orderkey") * 2 + 1).alias("page_id"),
+        F.concat(F.lit(f"{SHOP}/o/"), order).alias("url"),
+        F.concat(
+            F.lit("<html><body><p>"), F.coalesce(F.expr(ORDER_TEXT), F.lit("")), F.lit('</p><div><a href="/c/'),
+            F.col("o_custkey").cast("string"), F.lit('#orders">back</a> <a href="/p/'), (F.col("o_orderkey") % 1000).cast("string"),
+            F.lit('">part</a></div></body></html>'),
+        ).alias("html"),
+    )
+    return spread(customers.unionByName(order_pages))

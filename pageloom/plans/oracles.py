@@ -397,3 +397,37 @@ ORACLES: dict[str, str] = {
 }
 # Same pages in arrival order: the batches give what one pass gives.
 ORACLES["stream_site_pass"] = f"SELECT kind, url, key FROM ({ORACLES['site_pass']})"
+
+
+def _site_walk(levels: int = 12) -> str:
+    """One set of tables per level; with ten links per customer, twelve levels are enough for 10^11 of them."""
+    steps = []
+    for i in range(levels):
+        before = f"SELECT url FROM v{i - 1} UNION ALL " if i else ""
+        texts = f"SELECT t FROM s{i - 1}" if i else "SELECT NULL WHERE false"
+        steps += [
+            f"v{i} AS MATERIALIZED ({before}SELECT url FROM f{i})",
+            f"w{i} AS MATERIALIZED (SELECT min(page_id) AS page_id FROM f{i} JOIN page USING (url) WHERE t IS NOT NULL AND NOT EXISTS "
+            f"(SELECT 1 FROM ({texts}) seen(t) WHERE seen.t = page.t) GROUP BY t)",
+            f"r{i} AS MATERIALIZED (SELECT page.*, {i} AS depth FROM page JOIN w{i} USING (page_id))",
+            f"s{i} AS MATERIALIZED ({texts.replace('SELECT NULL WHERE false', '')}{' UNION ALL ' if i else ''}SELECT t FROM r{i})",
+            f"f{i + 1} AS MATERIALIZED (SELECT DISTINCT dst AS url FROM link JOIN r{i} ON src = r{i}.url WHERE dst NOT IN (SELECT url FROM v{i}))",
+        ]
+    # stitching puts a blank behind the (here empty) lead-in of a text
+    records = " UNION ALL ".join(f"SELECT 'record' AS kind, url, depth, ' ' || t AS merged_text FROM r{i}" for i in range(levels))
+    links = " UNION ALL ".join(f"SELECT 'link', url, {i}, NULL FROM f{i} WHERE url NOT IN (SELECT url FROM page)" for i in range(levels))
+    url = lambda kind, key: f"'{I.SHOP}/{kind}/' || ({key})"
+    return f"""WITH page AS MATERIALIZED (
+        SELECT c_custkey * 2 AS page_id, {url('c', 'c_custkey')} AS url, {I.CUSTOMER_TEXT} AS t FROM customer
+        UNION ALL SELECT o_orderkey * 2 + 1, {url('o', 'o_orderkey')}, {I.ORDER_TEXT} FROM orders),
+      link AS MATERIALIZED (
+        SELECT {url('c', 'c_custkey')} AS src, {url('c', 'c_custkey * 10 + n')} AS dst FROM customer, range(10) d(n)
+        UNION ALL SELECT {url('c', 'o_custkey')}, {url('o', 'o_orderkey')} FROM orders
+        UNION ALL SELECT {url('o', 'o_orderkey')}, {url('c', 'o_custkey')} FROM orders
+        UNION ALL SELECT {url('o', 'o_orderkey')}, {url('p', 'o_orderkey % 1000')} FROM orders),
+      f0 AS MATERIALIZED (SELECT {url('c', 'n')} AS url FROM range(1, 10) d(n)),
+      {", ".join(steps)}
+      {records} UNION ALL {links}"""
+
+
+ORACLES["site_walk"] = _site_walk()

@@ -17,6 +17,7 @@ from ..sources import jsonl, pages as page_source, state
 from ..streaming import queries as streams
 from . import inputs as I
 from .site_pass import run_pass
+from .site_walk import run_walk
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -431,6 +432,15 @@ def site_pass(spark, sf):
     )
 
 
+@query
+def site_walk(spark, sf):
+    """Records and unfetched links of a walk from seeds to where no link is new, as (kind, url, depth, merged_text)."""
+    result = run_walk(I.site_pages(spark, sf), I.site_seeds(spark), "'shop.example.com'", rules=I.walk_rules(spark))
+    return result.records.select(F.lit("record").alias("kind"), "url", "depth", "merged_text").unionByName(
+        result.unfetched.select(F.lit("link").alias("kind"), "url", "depth", F.lit(None).cast("string").alias("merged_text"))
+    )
+
+
 # --- N: notices ----------------------------------------------------------------------
 
 

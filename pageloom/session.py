@@ -43,6 +43,15 @@ def spread(df: DataFrame) -> DataFrame:
     return df if df.rdd.getNumPartitions() >= cores else df.repartition(cores)
 
 
+def materialise(df: DataFrame, name: str) -> DataFrame:
+    """Write a table to the shared folder once and read it back. Unlike a
+    checkpoint it is computed once and stays columnar, so that later steps read
+    only the columns they use."""
+    path = scratch_dir(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def cut_lineage(df: DataFrame) -> DataFrame:
     """Reliable checkpoint: the result is read back from the shared folder, so
     it survives the loss of executors and the plan stays short."""
