@@ -415,7 +415,7 @@ def _site_walk(levels: int = 12) -> str:
         ]
     # stitching puts a blank behind the (here empty) lead-in of a text
     records = " UNION ALL ".join(f"SELECT 'record' AS kind, url, depth, ' ' || t AS merged_text FROM r{i}" for i in range(levels))
-    links = " UNION ALL ".join(f"SELECT 'link', url, {i}, NULL FROM f{i} WHERE url NOT IN (SELECT url FROM page)" for i in range(levels))
+    links = " UNION ALL ".join(f"SELECT 'link', replace(url, '://www.', '://'), {i}, NULL FROM f{i} WHERE url NOT IN (SELECT url FROM page)" for i in range(levels))
     url = lambda kind, key: f"'{I.SHOP}/{kind}/' || ({key})"
     return f"""WITH page AS MATERIALIZED (
         SELECT c_custkey * 2 AS page_id, {url('c', 'c_custkey')} AS url, {I.CUSTOMER_TEXT} AS t FROM customer
