@@ -1,391 +1,108 @@
 """Tables inside pages: cells with grid positions, texts, links and images.
 
-Two exact ways lead to the same result. Pages whose table tags close in order
-and are not nested are read inside their row, without any shuffle. The other
-pages (tables in cells, missing end tags) go through windows over their tokens,
-after one shuffle of just those pages.
+Tokens, attributes, texts and addresses are column expressions; nesting and grid positions are one fold over a
+page's tokens (:mod:`pageloom.functions.grid`). All of it happens inside the page's row: no shuffle, no window.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
+from ..functions import grid
 from ..functions import html as H
 from ..functions import urls as U
-from ..functions.expr import column, filter_array, fresh, let, map_array, quote
-from ..functions.text import WHITESPACE, clean_text_sql
-from .markup import is_open, is_text, page_tokens, running, with_depth
-
-CELL = (
-    "struct<text:string,row:int,col:int,colspan:int,rowspan:int,img_links:array<string>,"
-    "links:array<struct<href:string,text:string>>>"
-)
-TABLES = f"array<struct<table_no:int,cells:array<{CELL}>>>"
-_STATE = "struct<row:int,cursor:int,busy_until:array<bigint>,cols:array<int>>"
-MAX_WIDTH = 1_000_000  # columns of a grid; a table whose spans claim more is dropped, as one with a bad span is
-_NO_TABLES = f"cast(array() AS {TABLES})"
-
-# --- pages in order: row-local -------------------------------------------------
-# One-character marks for the start and end of tables, rows, cells, tags of
-# cells, anchors, tags of anchors, and images. They are removed from the page first.
-_T, _T_END, _R, _R_END, _C, _C_TAG, _C_END, _A, _A_TAG, _A_END, _I, _I_END = (
-    chr(code) for code in range(0xFDD4, 0xFDE0)
-)
-
-
-def _marked_sql(html: str) -> str:
-    """The page as text with marks; other tags are gone."""
-    cases = (
-        ("table", quote(_T), quote(_T_END)),
-        ("tr", quote(_R), quote(_R_END)),
-        ("t[dh]", f"{quote(_C)} || t || {quote(_C_TAG)}", quote(_C_END)),
-        ("a", f"{quote(_A)} || t || {quote(_A_TAG)}", quote(_A_END)),
-        ("img", f"{quote(_I)} || t || {quote(_I_END)}", "''"),
-    )
-    unmarked = f"translate({html}, {quote(''.join((_T, _T_END, _R, _R_END, _C, _C_TAG, _C_END, _A, _A_TAG, _A_END, _I, _I_END)))}, '')"
-    tests = " ".join(
-        f"WHEN rlike(t, {quote(rf'(?i)^<{name}(?=[\s/>])')}) THEN {on} WHEN rlike(t, {quote(rf'(?i)^</{name}(?=[\s/>])')}) THEN {off}"
-        for name, on, off in cases
-    )
-    return (
-        f"array_join(transform({H.token_array_sql(unmarked)}, t -> CASE WHEN NOT startswith(t, '<') OR t = '<'"
-        f" THEN {H.decode_entities_sql('t')} {tests} ELSE '' END), '')"
-    )
-
+from ..functions.expr import column, filter_array, let, quote
+from ..functions.grid import CELL, TABLES
+from ..functions.text import clean_text_sql
 
-def _in_order_sql(marked: str) -> str:
-    """True if cells, rows and tables close in order and nothing is nested."""
-    marks = f"regexp_replace({marked}, {quote(f'[^{_T}{_T_END}{_R}{_R_END}{_C}{_C_END}]')}, '')"
-    for pair in (_C + _C_END, _R + _R_END, _T + _T_END):
-        marks = f"replace({marks}, {quote(pair)}, '')"
-    return f"({marks} = '')"
+_NO_TOKENS = f"cast(NULL AS {grid.TOKEN})"
 
 
-def _has_table_sql(html: str) -> str:
+def has_table_sql(html: str) -> str:
     return f"rlike({html}, {quote(r'(?i)<table[\s/>]')})"
 
 
-def in_order_sql(html: str) -> str:
-    """True if the page can be read inside its row; also if it has no table."""
-    return f"IF({_has_table_sql(html)}, {_in_order_sql(_marked_sql(html))}, true)"
-
-
 def _span_sql(tag: str, name: str) -> str:
     """Span attribute as a number; 1 if absent, NULL if it is not a number."""
     return let(H.attribute_sql(tag, name), lambda v: f"IF({v} IS NULL, 1, try_cast(trim({v}) AS int))")
 
 
-def table_array_sql(html: str, base: str) -> str:
-    """Tables of a page in order, as an array of (table_no, cells)."""
+def token_structs_sql(html: str) -> str:
+    """Tokens as the fold takes them: tags as written, decoded texts, and the attributes of cells, anchors and images."""
 
-    def inside(text: str, start: str, end: str) -> str:
-        return f"regexp_extract_all({text}, {quote(f'{start}([^{end}]*){end}')}, 1)"
+    def read(t: str) -> str:
+        def token(name: str) -> str:
+            cell = f"{name} IN ('td', 'th')"
+            value = f"CASE WHEN {name} = 'a' THEN {H.attribute_sql(t, 'href')} WHEN {name} = 'img' THEN {H.attribute_sql(t, 'src')} END"
+            spans = ", ".join(f"'{span}', IF({cell}, {_span_sql(t, span)}, NULL)" for span in ("colspan", "rowspan"))
+            return f"named_struct('tag', {t}, 'value', {value}, {spans})"
 
-    def read_cell(cell: str, row: str) -> str:
-        tag = f"substring_index({cell}, {quote(_C_TAG)}, 1)"
+        name = f"lower(regexp_extract({t}, {quote(r'^<([A-Za-z][^\s/>]*)')}, 1))"
+        bare = f"named_struct('tag', {t}, 'value', cast(NULL AS string), 'colspan', 1, 'rowspan', 1)"
+        nothing = "named_struct('tag', cast(NULL AS string), 'value', '', 'colspan', 1, 'rowspan', 1)"
+        text = f"named_struct('tag', cast(NULL AS string), 'value', {H.decode_entities_sql(t)}, 'colspan', 1, 'rowspan', 1)"
+        # most tags are too short for an attribute, or end tags
         return (
-            f"named_struct('row', cast({row} AS int), 'colspan', {_span_sql(tag, 'colspan')},"
-            f" 'rowspan', {_span_sql(tag, 'rowspan')}, 'content', substring_index({cell}, {quote(_C_TAG)}, -1))"
-        )
-
-    def read_row(row_text: str, row: str) -> str:
-        return map_array(inside(row_text, _C, _C_END), lambda c: read_cell(c, row))
-
-    def total(cells: str) -> str:
-        acc, x = fresh(), fresh()
-        return f"aggregate({cells}, 0L, ({acc}, {x}) -> {acc} + coalesce({x}.colspan, 0))"
-
-    def absolute(tag: str, name: str, parts: str) -> str:
-        return let(
-            H.attribute_sql(tag, name),
-            lambda h: f"IF({h} <> '', {U.resolve_from_sql(base, parts, h)}, NULL)",
-        )
-
-    def plain(text: str) -> str:
-        marks = quote(f"{_A}[^{_A_TAG}]*{_A_TAG}|{_A_END}|{_I}[^{_I_END}]*{_I_END}")
-        return clean_text_sql(f"regexp_replace({text}, {marks}, '')")
-
-    def finish(c: str, col: str, parts: str) -> str:
-        content = f"{c}.content"
-        images = map_array(inside(content, _I, _I_END), lambda t: absolute(t, "src", parts))
-        anchors = f"regexp_extract_all({content}, {quote(f'{_A}[^{_A}{_A_END}]*')}, 0)"
-        links = map_array(
-            anchors,
-            lambda a: f"named_struct('href', {absolute(f'substring_index({a}, {quote(_A_TAG)}, 1)', 'href', parts)},"
-            f" 'text', {plain(a)})",
-        )
-        return (
-            f"named_struct('text', {plain(content)}, 'row', {c}.row, 'col', {col},"
-            f" 'colspan', IF({c}.colspan > 1, {c}.colspan, NULL), 'rowspan', IF({c}.rowspan > 1, {c}.rowspan, NULL),"
-            f" 'img_links', IF(contains({content}, {quote(_I)}), {filter_array(images, lambda u: f'{u} IS NOT NULL')}, NULL),"
-            f" 'links', IF(contains({content}, {quote(_A)}), {filter_array(links, lambda l: f'{l}.href IS NOT NULL')}, NULL))"
-        )
-
-    def grid(rows: str, parts: str) -> str:
-        """Cells of one table with their columns; NULL if a span is no number."""
-
-        def place(t: str) -> str:
-            cells, width = f"{t}.cells", f"{t}.width"
-            # without row spans a cell stands behind the cells before it in its row
-            fast = map_array(
-                rows,
-                lambda r: f"transform({r}, (c, i) -> {let(total(f'slice({r}, 1, i)'), lambda n: f'IF({n} < {width}, {n}, NULL)')})",
-            )
-            cols = (
-                f"IF({width} > 0 AND exists({cells}, c -> c.rowspan > 1), {_place_cells_sql(cells, width)}, flatten({fast}))"
-            )
-            placed = let(
-                cols,
-                lambda k: f"transform({cells}, (c, i) -> IF({k}[i] IS NULL, NULL, {finish('c', f'{k}[i]', parts)}))",
-            )
-            return (
-                f"IF({width} > {MAX_WIDTH} OR exists({cells}, c -> c.colspan IS NULL OR c.rowspan IS NULL), NULL,"
-                f" {filter_array(placed, lambda c: f'{c} IS NOT NULL')})"
-            )
-
-        widths = f"array_max({map_array(rows, total)})"
-        width = f"cast(least(coalesce({widths}, 0), {MAX_WIDTH + 1}) AS int)"
-        return let(f"named_struct('cells', flatten({rows}), 'width', {width})", place)
-
-    def tables(m: str) -> str:
-        def one(t: str, n: str, parts: str) -> str:
-            rows = f"transform({inside(t, _R, _R_END)}, (r, n) -> {read_row('r', 'n')})"
-            return f"named_struct('table_no', cast({n} AS int), 'cells', {let(rows, lambda r: grid(r, parts))})"
-
-        name, number = fresh(), fresh()
-        listed = let(
-            U.url_parts_sql(base),
-            lambda p: f"transform({inside(m, _T, _T_END)}, ({name}, {number}) -> {one(name, number, p)})",
+            f"CASE WHEN NOT startswith({t}, '<') THEN {text}"
+            f" WHEN rlike({t}, '^</?[A-Za-z]') THEN IF(length({t}) <= 5 OR startswith({t}, '</'), {bare}, {let(name, token)})"
+            f" WHEN rlike({t}, {quote(r'(?s)^<[!?].*>$')}) THEN {nothing} ELSE {text} END"
         )
-        return filter_array(listed, lambda t: f"{t}.cells IS NOT NULL")
-
-    return f"cast(IF({_has_table_sql(html)}, {let(_marked_sql(html), tables)}, {_NO_TABLES}) AS {TABLES})"
-
-
-def _place_cells_sql(cells: str, width: str) -> str:
-    """Grid column of each cell (NULL: no room) when some cells span rows.
-
-    ``busy_until[k]`` is the first row in which column k is free again. Cells
-    are visited in row order and take the first free column from the cursor on.
-    """
-    cursor = "IF(s.row = c.row, s.cursor, 0)"
-    free = f"filter(sequence(0, {width} - 1), k -> k >= {cursor} AND s.busy_until[k] <= c.row)"
-    until = (
-        "transform(s.busy_until, (v, k) -> IF(k >= f AND k < f + c.colspan, greatest(v, cast(c.row AS bigint) + c.rowspan), v))"
-    )
-    step = (
-        f"transform(array(get({free}, 0)), f -> cast(named_struct('row', c.row, 'cursor', coalesce(f + c.colspan, {width}),"
-        f" 'busy_until', IF(f IS NULL, s.busy_until, {until}), 'cols', concat(s.cols, array(f))) AS {_STATE}))[0]"
-    )
-    start = (
-        f"cast(named_struct('row', -1, 'cursor', 0, 'busy_until', array_repeat(0L, {width}), 'cols', array()) AS {_STATE})"
-    )
-    return f"aggregate({cells}, {start}, (s, c) -> {step}, s -> s.cols)"
-
-
-# --- all other pages: windows over tokens ------------------------------------------
-
-
-def _opens(*tags: str) -> Column:
-    return is_open() & F.col("tag").isin(*tags)
-
-
-def _is_table() -> Column:
-    return _opens("table")
 
+    return f"cast(transform({H.token_array_sql(html)}, t -> {read('t')}) AS {grid.TOKEN})"
 
-def _is_row() -> Column:
-    return _opens("tr")
 
+def _finished_sql(tables: str, base: str) -> str:
+    """Texts cleaned and addresses resolved."""
 
-def _is_cell() -> Column:
-    return _opens("td", "th")
+    def absolute(address: str, parts: str) -> str:
+        return U.resolve_from_sql(base, parts, address)
 
-
-def _is_anchor() -> Column:
-    return _opens("a")
-
-
-def _is_image() -> Column:
-    return _opens("img")
-
-
-def _running(*keys: str) -> Window:
-    return (
-        Window.partitionBy("page_id", *keys).orderBy("pos").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    )
-
-
-def _last_opened(condition: Column, value: str, *keys: str) -> Column:
-    return F.last(F.when(condition, F.col(value)), ignorenulls=True).over(_running(*keys))
-
-
-def _cell_contents(tokens: DataFrame) -> DataFrame:
-    """One row per table, row and cell start; cells carry their items."""
-    deep = with_depth(
-        tokens, {"t_depth": ("table",), "r_depth": ("tr",), "c_depth": ("td", "th"), "a_depth": ("a",)}
-    ).withColumn("table_no", (F.sum(F.when(_is_table(), 1).otherwise(0)).over(running()) - 1).cast("int"))
-    deep = deep.withColumn(
-        "a_start", F.when(F.col("a_depth") > 0, _last_opened(_is_anchor(), "pos", "a_depth"))
-    )
-    is_item = (is_text() | _is_anchor() | _is_image()) & (F.col("c_depth") > 0)
-    is_head = _is_table() | _is_row() | _is_cell()
-    relevant = (
-        deep.where((F.col("t_depth") > 0) & (is_head | is_item))
-        # an item belongs to every cell around it, a cell start to its own level
-        .withColumn(
-            "level",
-            F.explode(
-                F.when(is_item, F.sequence(F.lit(1), F.col("c_depth")))
-                .when(_is_cell(), F.array("c_depth"))
-                .otherwise(F.array(F.lit(0)))
-            ),
+    def finish(c: str, parts: str) -> str:
+        links = (
+            f"transform({c}.links, l -> named_struct('href', {absolute('l.href', parts)}, 'text', {clean_text_sql('l.text')}))"
         )
-        .withColumn(
-            "head_pos",
-            F.when(F.col("level") == 0, F.col("pos")).otherwise(_last_opened(_is_cell(), "pos", "level")),
+        present = filter_array(links, lambda l: f"{l}.href IS NOT NULL")
+        images = filter_array(f"transform({c}.img_links, i -> {absolute('i', parts)})", lambda i: f"{i} IS NOT NULL")
+        return (
+            f"named_struct('text', {clean_text_sql(f'{c}.text')}, 'row', {c}.row, 'col', {c}.col, 'colspan', {c}.colspan,"
+            f" 'rowspan', {c}.rowspan, 'img_links', {images}, 'links', {present})"
         )
-    )
-    is_own = F.col("pos") == F.col("head_pos")
-
-    def own(name: str) -> Column:
-        return F.max(F.when(is_own, F.col(name))).alias(name)
-
-    item = F.struct("pos", "tag", "a_start", "target", "text")
-    return relevant.groupBy("page_id", F.col("head_pos").alias("pos")).agg(
-        *[own(c) for c in ("tag", "colspan", "rowspan", "table_no", "t_depth", "r_depth", "c_depth")],
-        F.array_sort(F.collect_list(F.when(is_item, item))).alias("items"),
-    )
-
 
-def _join_text(items: Column) -> Column:
-    raw = F.array_join(F.transform(F.filter(items, lambda i: i["tag"].isNull()), lambda i: i["text"]), "")
-    return F.trim(F.regexp_replace(raw, WHITESPACE + "+", " "))
-
-
-def _cell_object(c: Column) -> Column:
-    images = F.filter(c["items"], lambda i: i["tag"] == "img")
-    anchors = F.filter(c["items"], lambda i: i["tag"] == "a")
-    return F.struct(
-        _join_text(c["items"]).alias("text"),
-        c["row"].alias("row"),
-        c["col"].alias("col"),
-        F.when(c["colspan"] > 1, c["colspan"]).alias("colspan"),
-        F.when(c["rowspan"] > 1, c["rowspan"]).alias("rowspan"),
-        F.when(
-            F.size(images) > 0,
-            F.transform(F.filter(images, lambda i: i["target"].isNotNull()), lambda i: i["target"]),
-        ).alias("img_links"),
-        F.when(
-            F.size(anchors) > 0,
-            F.transform(
-                F.filter(anchors, lambda i: i["target"].isNotNull()),
-                lambda a: F.struct(
-                    a["target"].alias("href"),
-                    _join_text(F.filter(c["items"], lambda i: i["a_start"] == a["pos"])).alias("text"),
-                ),
-            ),
-        ).alias("links"),
-    ).cast(CELL)
-
-
-def _tables_by_windows(pages: DataFrame, base: str) -> DataFrame:
-    """page_id, table_no, cells of pages that hold a table.
-
-    All rows below a table belong to it, also those of tables nested in it.
-    """
-    address = (
-        f"CASE WHEN kind <> 'open' THEN NULL WHEN tag = 'a' THEN {H.attribute_sql('raw', 'href')}"
-        f" WHEN tag = 'img' THEN {H.attribute_sql('raw', 'src')} END"
-    )
-    target = let(address, lambda h: f"IF({h} <> '', {U.resolve_url_sql('base', h)}, NULL)")
-    # read the tags first, so that the sorts below move narrow rows of few tags
-    tokens = page_tokens(pages.select("page_id", F.expr(base).alias("base"), "html"), keep=("base",))
-    narrow = tokens.where(F.col("tag").isNull() | F.col("tag").isin("table", "tr", "td", "th", "a", "img")).select(
-        "page_id", "pos", "kind", "tag", "text",
-        column(target).alias("target"),
-        *[
-            column(f"IF(kind = 'open' AND tag IN ('td', 'th'), {_span_sql('raw', name)}, NULL)").alias(name)
-            for name in ("colspan", "rowspan")
-        ],
-    )
-    parts = _cell_contents(narrow)
-    is_table, is_row, is_cell = F.col("tag") == "table", F.col("tag") == "tr", F.col("tag").isin("td", "th")
-    placed = (
-        parts
-        # rows and cells count for every table around them
-        .withColumn(
-            "level",
-            F.explode(
-                F.when(is_table, F.array("t_depth")).otherwise(F.sequence(F.lit(1), F.col("t_depth")))
-            ),
-        )
-        .withColumn("table_pos", _last_opened(is_table, "pos", "level"))
-        .withColumn("row_no", (F.sum(F.when(is_row, 1).otherwise(0)).over(_running("table_pos")) - 1).cast("int"))
-        # the enclosing row is the last one opened at the cell's row depth
-        .withColumn("row", _last_opened(is_row, "row_no", "table_pos", "r_depth"))
-        .withColumn("row_c_depth", _last_opened(is_row, "c_depth", "table_pos", "r_depth"))
-        .where(is_table | (is_cell & F.col("row").isNotNull() & (F.col("c_depth") == F.col("row_c_depth") + 1)))
-    )
-    per_row = Window.partitionBy("page_id", "table_pos", "row")
-    before = per_row.orderBy("pos").rowsBetween(Window.unboundedPreceding, -1)
-    per_table = Window.partitionBy("page_id", "table_pos")
-    sized = (
-        placed.withColumn("fast_col", F.least(F.coalesce(F.sum("colspan").over(before), F.lit(0)), F.lit(MAX_WIDTH + 1)).cast("int"))
-        .withColumn("row_width", F.least(F.coalesce(F.sum("colspan").over(per_row), F.lit(0)), F.lit(MAX_WIDTH + 1)))
-        .withColumn("width", F.coalesce(F.max("row_width").over(per_table), F.lit(0)).cast("int"))
-        .withColumn("bad", F.max(is_cell & (F.col("colspan").isNull() | F.col("rowspan").isNull())).over(per_table))
-        .where(~F.col("bad") & (F.col("width") <= MAX_WIDTH))
-    )
-    # the leading fields order the cells row by row
-    cell = F.struct("row", "pos", F.col("fast_col").alias("col"), "colspan", "rowspan", "items")
-    tables = sized.groupBy("page_id", "table_pos").agg(
-        F.max(F.when(is_table, F.col("table_no"))).alias("table_no"),
-        F.max("width").alias("width"),
-        F.max(F.coalesce(F.col("rowspan") > 1, F.lit(False))).alias("spans_rows"),
-        F.sort_array(F.collect_list(F.when(is_cell, cell))).alias("cells"),
-    )
-    cols = F.when(F.col("spans_rows") & (F.col("width") > 0), column(_place_cells_sql("cells", "width"))).otherwise(
-        F.transform("cells", lambda c: F.when(c["col"] < F.col("width"), c["col"]))
-    )
-    positioned = tables.withColumn("cols", cols).withColumn(
-        "cells",
-        F.transform("cells", lambda c, i: c.withField("col", F.get("cols", i))),
-    )
-    return positioned.select(
-        "page_id",
-        "table_no",
-        F.transform(F.filter("cells", lambda c: c["col"].isNotNull()), _cell_object).alias("cells"),
+    return let(
+        U.url_parts_sql(base),
+        lambda p: f"cast(transform({tables}, x -> named_struct('table_no', x.table_no, 'cells', transform(x.cells, c -> {finish('c', p)})))"
+        f" AS {TABLES})",
     )
 
 
 def with_tables(pages: DataFrame, base: str = "url", output: str = "tables") -> DataFrame:
     """Add the tables of each page, in order, as array of (table_no, cells).
 
-    Nested tables are listed as well, and all rows below a table belong to it.
-    ``table_no`` counts the opening tags of the page. Cells beyond the widest
-    row are dropped, and so is a table with a span that is not a number.
-    ``base`` is where relative links start from.
+    Nested tables are listed as well, and all rows below a table belong to it. ``table_no`` counts the opening
+    tags of the page. Cells beyond the widest row are dropped, and so is a table with a span that is not a
+    number, or whose cells reach beyond 2^31 columns. End tags close what stands open inside
+    their element; missing ones are made up by the end of an outer element or of the page. ``base``
+    is where relative links start from. Without markup (NULL) there are no tables.
     """
-    in_order = column(in_order_sql("html"))
-    local = pages.where(in_order).withColumn(output, column(table_array_sql("html", base)))
-    others = pages.where(~in_order)
-    by_page = (
-        _tables_by_windows(others, base)
-        .groupBy("page_id")
-        .agg(F.array_sort(F.collect_list(F.struct("table_no", "cells"))).cast(TABLES).alias(output))
-    )
-    return local.unionByName(
-        others.join(by_page, "page_id", "left")
-        .withColumn(output, F.coalesce(output, F.expr(_NO_TABLES)))
-        .select(*pages.columns, output)
-    )
+    tokens = column(f"IF({has_table_sql('html')}, {token_structs_sql('html')}, {_NO_TOKENS})")
+    return _folded(pages.withColumn(output, tokens), output).withColumn(output, column(_finished_sql(output, base)))
+
+
+def _folded(pages: DataFrame, output: str) -> DataFrame:
+    """The tokens in column ``output`` replaced by tables; the other columns pass by as they are."""
+    raw = T.StructType.fromDDL(f"t {TABLES}")["t"].dataType
+    schema = T.StructType([T.StructField(f.name, raw if f.name == output else f.dataType) for f in pages.schema])
+    return pages.mapInArrow(grid.fold_column(output), schema)
 
 
 def extract_tables(pages: DataFrame, base: str = "url") -> DataFrame:
     """page_id, table_no, cells: one row per table. See :func:`with_tables`."""
-    return with_tables(pages, base, "_tables").select("page_id", F.inline("_tables"))
+    tokens = column(f"IF({has_table_sql('html')}, {token_structs_sql('html')}, {_NO_TOKENS})")
+    # the markup itself need not pass by the fold
+    found = _folded(pages.select("page_id", column(base).alias("_base"), tokens.alias("_tables")), "_tables")
+    return found.select("page_id", column(_finished_sql("_tables", "_base")).alias("_tables")).select("page_id", F.inline("_tables"))
 
 
 def table_cells(pages: DataFrame) -> DataFrame:

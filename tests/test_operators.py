@@ -47,14 +47,12 @@ def test_nested_tables(spark):
     assert numbers == [0, 1, 2]  # the last table has a bad span
 
 
-def test_both_ways_to_read_tables_agree(spark):
-    pages = spark.createDataFrame([(1, "https://a.com/s/v", PLAIN)], PAGE)
-    in_row = cells_of(tables.extract_tables(pages))
-    by_windows = cells_of(tables._tables_by_windows(pages, "url"))
-    assert in_row == by_windows
-    assert in_row[(0, 2, 1)][0] == "d" and in_row[(0, 1, 1)][0] == "b < c"
-    assert in_row[(0, 3, 1)][4] == [("https://a.com/s/k", "l")]
-    assert in_row[(0, 3, 2)][3] == ["https://a.com/s/i.png"]
+def test_plain_tables(spark):
+    pages = spark.createDataFrame([(1, "https://a.com/s/v", PLAIN), (2, "https://a.com/", None), (3, "https://a.com/", "")], PAGE)
+    cells = cells_of(tables.extract_tables(pages))
+    assert cells[(0, 2, 1)][0] == "d" and cells[(0, 1, 1)][0] == "b < c"
+    assert cells[(0, 3, 1)][4] == [("https://a.com/s/k", "l")]
+    assert cells[(0, 3, 2)][3] == ["https://a.com/s/i.png"] and len(cells) == 8
 
 
 def test_links_and_scope(spark):
@@ -174,15 +172,20 @@ def test_link_extraction_and_urls_need_no_shuffle(spark):
 
 
 @pytest.mark.parametrize("nested", ["", "<table><tr><td>in</td></tr></table>"])
-def test_huge_spans_drop_their_table_only(spark, nested):
+def test_huge_spans_cost_nothing(spark, nested):
     plain = f"<table><tr><td>a{nested}</td></tr></table>"
-    for spans in ('<td colspan="2147483647">x</td>' * 2, '<td rowspan="2" colspan="200000000">x</td>'):
-        page = f"<table><tr>{spans}</tr><tr><td>y</td></tr></table>{plain}"
-        found = str(tables.extract_tables(spark.createDataFrame([(1, "https://a.com/", page)], PAGE)).collect())
-        assert "text='y'" not in found and "text='a" in found
-    tall = '<table><tr><td rowspan="2147483647">t</td></tr><tr><td>u</td><td>w</td></tr></table>'
-    found = str(tables.extract_tables(spark.createDataFrame([(1, "https://a.com/", tall)], PAGE)).collect())
-    assert "text='t'" in found
+
+    def cells(page):
+        rows = tables.extract_tables(spark.createDataFrame([(1, "https://a.com/", page + plain)], PAGE)).collect()
+        return {(r.table_no, c.row, c.col): c.text for r in rows for c in r.cells}
+
+    wide = cells('<table><tr><td rowspan="2" colspan="200000000">x</td><td>y</td></tr><tr><td>z</td></tr></table>')
+    assert wide[0, 0, 200_000_000] == "y" and wide[0, 1, 200_000_000] == "z" and wide[1, 0, 0].startswith("a")
+    # columns that a number cannot hold: their table goes, the others stay
+    beyond = cells(f"<table><tr>{'<td colspan=2147483647>x</td>' * 3}</tr><tr><td>y</td></tr></table>")
+    assert not any(t == 0 for t, _, _ in beyond) and beyond[1, 0, 0].startswith("a")
+    tall = cells('<table><tr><td rowspan="2147483647">t</td></tr><tr><td>u</td><td>w</td></tr></table>')
+    assert tall[0, 0, 0] == "t" and tall[0, 1, 1] == "u" and (0, 1, 2) not in tall
 
 
 def test_literal_marks_are_no_structure(spark):
