@@ -7,9 +7,10 @@ from pyspark.sql import functions as F
 
 from ..functions import urls as U
 from ..functions.expr import column, filter_array
-from ..session import cut_lineage
+from ..session import cut_lineage, materialise
 from .dedup import unseen, unseen_small
-from .skew import ROWS_PER_TASK, hot_keys, split_join
+from .growing import Growing
+from .skew import BROADCAST_KEYS, ROWS_PER_TASK, hot_keys
 from .urls import exclude_urls
 
 
@@ -97,28 +98,52 @@ def link_depths(
 ) -> DataFrame:
     """Shortest number of hops from any seed (url) over edges (src, dst).
 
-    One job per level. Each level and the edges are checkpointed, so plans stay
-    short and a lost executor does not restart the walk. Sources with very many
-    links are spread over several tasks; targets are reduced by partial
-    aggregates.
+    One job per level. The edges are dealt out by source once, persisted, and stay where they are
+    (:func:`placed_edges`): only the level moves. Each level is written to the shared folder, so plans stay short and a
+    lost executor does not restart the walk; targets are reduced by partial aggregates.
     """
-    edges = cut_lineage(edges.select(F.col("src").alias("url"), "dst").where("url <> dst").distinct())
+    edges = materialise(edges.select(F.col("src").alias("url"), "dst").where("url <> dst").distinct(), "edges")
     hot = hot_keys(edges, "url", rows_per_task)
-    level = cut_lineage(seeds.select("url").distinct().withColumn("depth", F.lit(0)))
-    reached = level
+    if hot is not None and hot.limit(BROADCAST_KEYS + 1).count() <= BROADCAST_KEYS:
+        hot = F.broadcast(hot)
+    placed = placed_edges(edges, hot)
+    level = materialise(seeds.select("url").distinct().withColumn("depth", F.lit(0)), "level")
+    known = Growing(edges.sparkSession, "url string, depth int", "reached")
+    known.add(level)
     depth = 0
     while (max_depth is None or depth < max_depth) and not level.isEmpty():
         depth += 1
-        targets = (
-            split_join(edges, level.select("url"), "url", "left_semi", hot, spread_by="dst")
-            .select(F.col("dst").alias("url"))
-            .distinct()
-        )
-        level = cut_lineage(
-            targets.join(reached.select("url"), "url", "left_anti").withColumn("depth", F.lit(depth))
-        )
-        reached = reached.unionByName(level)
-    return reached
+        targets = edges_of(level, placed, hot).select(F.col("dst").alias("url")).distinct()
+        level = materialise(targets.join(known.rows().select("url"), "url", "left_anti").withColumn("depth", F.lit(depth)), "level")
+        known.add(level)
+    placed.unpersist()
+    return known.rows()
+
+
+def placed_edges(edges: DataFrame, hot: DataFrame | None) -> DataFrame:
+    """Edges (url, dst), dealt out and sorted by source and kept so.
+
+    If there are frequent sources (:func:`hot_keys`), their edges are spread over parts, and ``part`` is a second key.
+    """
+    n, keys = int(edges.sparkSession.conf.get("spark.sql.shuffle.partitions")), ["url"]
+    if hot is not None:
+        keys = ["url", "part"]
+        part = F.when(F.col("n_parts").isNull(), 0).otherwise(F.pmod(F.xxhash64("dst"), F.col("n_parts")).cast("int"))
+        edges = edges.join(hot, "url", "left").select("url", part.alias("part"), "dst")
+    placed = edges.repartition(n, *keys).sortWithinPartitions(*keys).persist()
+    placed.count()  # Spark knows how a persisted table is dealt out once it is there
+    return placed
+
+
+def edges_of(level: DataFrame, placed: DataFrame, hot: DataFrame | None) -> DataFrame:
+    """Edges whose source is in a level. Nothing of ``placed`` is shuffled or sorted again; a frequent
+    source asks all of its parts."""
+    asking, keys = level.select("url"), ["url"]
+    if hot is not None:
+        keys = ["url", "part"]
+        parts = F.explode(F.sequence(F.lit(0), F.coalesce(F.col("n_parts"), F.lit(1)) - 1))
+        asking = asking.join(hot, "url", "left").select("url", parts.alias("part"))
+    return placed.join(asking.hint("merge"), keys, "left_semi")
 
 
 def next_batch(frontier: DataFrame, n: int) -> DataFrame:

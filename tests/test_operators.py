@@ -122,6 +122,23 @@ def test_link_depths_with_frequent_source(spark):
     assert frontier.link_depths(graph, seed, max_depth=1).count() == 41
 
 
+@pytest.mark.parametrize("limit", [5, 1000])
+def test_edges_stay_where_they_are(spark, limit):
+    """Inside the loop neither an exchange nor a sort of the edges, with and without a frequent source."""
+    edges = spark.createDataFrame([("a", f"n{i}") for i in range(40)] + [("n1", "z"), ("z", "a")], "url string, dst string")
+    hot = skew.hot_keys(edges, "url", limit)
+    placed = frontier.placed_edges(edges, hot)
+    level = spark.createDataFrame([("a",), ("z",)], "url string")
+    found = frontier.edges_of(level, placed, hot)
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    joined = plan.split("InMemoryTableScan")[0]  # the left side; below stands how it was made
+    assert "SortMergeJoin" in joined and "Exchange" not in joined and "Sort [" not in joined
+    assert sorted(r.dst for r in found.collect()) == sorted(["a", *[f"n{i}" for i in range(40)]])
+    if hot is not None:
+        assert placed.select("part").distinct().count() == 8
+    placed.unpersist()
+
+
 def test_chain_with_cycle_and_missing_page(spark):
     links = [("a", "b"), ("b", "c"), ("c", "d"), ("d", "b"), ("x", "y"), ("y", "gone"), ("p", "y")]
     df = spark.createDataFrame(links, "url string, next_url string")
