@@ -258,6 +258,7 @@ ORACLES: dict[str, str] = {
     "jsonl_source": "SELECT 'https://docs.example.com/d/' || doc_id AS url, text AS merged_text, 0 AS n_images FROM documents",
     "jsonl_append": "SELECT 'https://docs.example.com/d/' || doc_id AS url, text AS value FROM documents",
     "size_bounded_write": "SELECT 'https://docs.example.com/d/' || doc_id AS url, text AS merged_text FROM documents",
+    "bounded_file_sizes": "SELECT count(*)::BIGINT AS n_records, 0::BIGINT AS n_too_large FROM documents",
     "year_partitioned_notices": ARTICLES,
     "crawl_state_tables": state_rows(distinct=True),
     "crawl_state_snapshot": state_rows(distinct=False),

@@ -77,6 +77,15 @@ def size_bounded_write(spark, sf):
     return jsonl.read_jsonl(spark, path, RECORD_FIELDS).select("url", "merged_text")
 
 
+@query
+def bounded_file_sizes(spark, sf):
+    """Records written, and files above the bound that hold more than one record: there must be none."""
+    path, bound = scratch_dir(spark, "bounded"), 1 << 16
+    jsonl.write_bounded(I.document_records(spark, sf), path, target_bytes=bound)
+    too_large = (F.col("n_bytes") > bound) & (F.col("n_records") > 1)
+    return jsonl.file_sizes(spark, path).agg(F.sum("n_records").alias("n_records"), F.count_if(too_large).alias("n_too_large"))
+
+
 @query
 def year_partitioned_notices(spark, sf):
     path = scratch_dir(spark, "years")

@@ -264,3 +264,19 @@ def test_pass_follows_only_surviving_pages(spark):
     assert sorted((r.url, r.depth) for r in result.frontier.collect()) == [("https://a.com/x", 1)]
     again = run_pass(pages, "'a.com'", seen=result.seen, small_batch=True)
     assert again.records.count() == 0 and again.frontier.count() == 0
+
+
+def test_files_stay_below_the_bound(spark, tmp_path):
+    rows = [(i, "é" * (i % 50), "b") for i in range(500)] + [(1000, "x" * 3000, None), (1001, None, None)]
+    df = spark.createDataFrame(rows, "n int, bytes string, part string").repartition(3)
+    path = str(tmp_path / "out")
+    for _ in range(2):  # the second call adds files of its own
+        jsonl.write_bounded(df, path, target_bytes=1000)
+    files = jsonl.file_sizes(spark, path).collect()
+    assert all(f.n_bytes <= 1000 or f.n_records == 1 for f in files) and sum(f.n_bytes > 1000 for f in files) == 2
+    # no file could have taken the first record of the next one
+    assert len(files) <= 2 * sum(f.n_bytes for f in files) / 1000 + 6
+    back = jsonl.read_jsonl(spark, path, "n int, bytes string, part string")
+    assert sorted(back.collect(), key=repr) == sorted([*df.collect(), *df.collect()], key=repr)
+    jsonl.write_bounded(df.limit(0), str(tmp_path / "none"), target_bytes=1000)
+    assert jsonl.read_jsonl(spark, str(tmp_path / "none"), "n int").count() == 0
