@@ -12,6 +12,7 @@ from pyspark.sql import types as T
 MAX_ATTEMPTS = 10
 MAX_SECONDS = 200
 GAP_SECONDS = 120
+SLOTS_PER_RANGE = 4096
 
 
 def _response_label() -> Column:
@@ -86,14 +87,17 @@ def micros(ts: str, without_zone: bool) -> Column:
     )
 
 
-def sessions(log: DataFrame, ts: str = "ts", key: str | None = None, gap_seconds: int = GAP_SECONDS) -> DataFrame:
+def sessions(
+    log: DataFrame, ts: str = "ts", key: str | None = None, gap_seconds: int = GAP_SECONDS, slots_per_range: int = SLOTS_PER_RANGE
+) -> DataFrame:
     """Runs of a log without a gap of ``gap_seconds`` or more.
 
     Returns [key,] session_no, started, ended, n_rows. Rows that fall into the
     same slot of ``gap_seconds`` can never be in different runs, so rows are
-    first reduced to one summary per slot with partial aggregates. The windows
-    see slots only: their number depends on the time covered, not on the rows,
-    and a key that holds a third of all rows is no larger than others.
+    first reduced to one summary per slot with partial aggregates. Slots are numbered in two
+    levels: within ranges of ``slots_per_range`` slots, which lie in different tasks, and across ranges by their first and
+    last times alone. So without a key no task sees all slots, and a key that
+    holds a third of all rows is no larger than others.
     """
     keys = [key] if key else []
     gap = gap_seconds * 1_000_000
@@ -104,12 +108,29 @@ def sessions(log: DataFrame, ts: str = "ts", key: str | None = None, gap_seconds
         .groupBy(*keys, slot.alias("_slot"))
         .agg(F.min(ts).alias("first_ts"), F.max(ts).alias("last_ts"), F.count(F.lit(1)).alias("n"))
     )
-    in_order = Window.partitionBy(*keys).orderBy("_slot")
-    idle = micros("first_ts", without_zone) - F.lag(micros("last_ts", without_zone)).over(in_order)
-    is_start = F.coalesce(idle >= gap, F.lit(True)).cast("int")
-    numbered = slots.withColumn("_start", is_start).withColumn(
-        "session_no", F.sum("_start").over(in_order.rowsBetween(Window.unboundedPreceding, 0))
+    slots = slots.withColumn("_range", F.floor(F.col("_slot") / F.lit(slots_per_range)))
+    within = Window.partitionBy(*keys, "_range").orderBy("_slot")
+
+    def opens(begins: str, ends: str, window: Window, first: bool) -> Column:
+        idle = micros(begins, without_zone) - F.lag(micros(ends, without_zone)).over(window)
+        return F.coalesce(idle >= gap, F.lit(first)).cast("int")
+
+    # runs that begin inside a range, its first slot left out
+    numbered = slots.withColumn("_opens", opens("first_ts", "last_ts", within, False)).withColumn(
+        "_inner", F.sum("_opens").over(within.rowsBetween(Window.unboundedPreceding, 0))
     )
-    return numbered.groupBy(*keys, "session_no").agg(
-        F.min("first_ts").alias("started"), F.max("last_ts").alias("ended"), F.sum("n").alias("n_rows")
+    across = Window.partitionBy(*keys).orderBy("_range")
+    ranges = (
+        numbered.groupBy(*keys, "_range").agg(F.min("first_ts").alias("_begins"), F.max("last_ts").alias("_ends"), F.max("_inner").alias("_in"))
+        .withColumn("_opens", opens("_begins", "_ends", across, True))
+        .withColumn("_before", F.sum(F.col("_opens") + F.col("_in")).over(across.rowsBetween(Window.unboundedPreceding, 0)) - F.col("_in"))
+        .select(*[F.col(k).alias("_key") for k in keys], F.col("_range").alias("_of"), "_before")
+    )
+    same = F.col("_range") == F.col("_of")
+    if key:
+        same = same & F.col(key).eqNullSafe(F.col("_key"))
+    return (
+        numbered.join(ranges, same)
+        .groupBy(*keys, (F.col("_before") + F.col("_inner")).alias("session_no"))
+        .agg(F.min("first_ts").alias("started"), F.max("last_ts").alias("ended"), F.sum("n").alias("n_rows"))
     )

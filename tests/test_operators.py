@@ -280,3 +280,30 @@ def test_files_stay_below_the_bound(spark, tmp_path):
     assert sorted(back.collect(), key=repr) == sorted([*df.collect(), *df.collect()], key=repr)
     jsonl.write_bounded(df.limit(0), str(tmp_path / "none"), target_bytes=1000)
     assert jsonl.read_jsonl(spark, str(tmp_path / "none"), "n int").count() == 0
+
+
+@pytest.mark.parametrize("key", [None, "who"])
+@pytest.mark.parametrize("slots_per_range", [1, 3, 4096])
+def test_sessions_across_ranges(spark, key, slots_per_range):
+    base, step = datetime.datetime(2024, 1, 1), [0, 5, 9, 10, 11, 40, 41, 49, 59, 60, 200, 209, 219, 229, 239, 240, 300, 311]
+    rows = [(base + datetime.timedelta(seconds=s), who) for who in ("a", None) for s in step] + [(base, "b"), (None, "b")]
+    log = spark.createDataFrame(rows, "ts timestamp, who string")
+    got = fetchlog.sessions(log, key=key, gap_seconds=10, slots_per_range=slots_per_range).collect()
+    want = []
+    for who in {w for _, w in rows} if key else {""}:
+        number, last = 0, None
+        for t in sorted(t for t, w in rows if t is not None and (not key or w == who)):
+            if last is None or (t - last).total_seconds() >= 10:
+                number += 1
+                want.append([who, number, t, t, 0])
+            want[-1][3], want[-1][4], last = t, want[-1][4] + 1, t
+    found = [((r[key] if key else ""), r.session_no, r.started, r.ended, r.n_rows) for r in got]
+    assert sorted(found, key=repr) == sorted(map(tuple, want), key=repr)
+
+
+def test_no_task_sees_all_slots(spark):
+    log = spark.range(10).select(F.timestamp_seconds("id").alias("ts"))
+    plan = fetchlog.sessions(log)._jdf.queryExecution().executedPlan().toString()
+    single = plan.index("Exchange SinglePartition")
+    # what meets in one task are ranges, already aggregated
+    assert plan.count("Exchange SinglePartition") == 1 and "_range" in plan[single:].split("HashAggregate", 2)[1]
