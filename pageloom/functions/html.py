@@ -7,6 +7,7 @@ nesting are answered by windows in :mod:`pageloom.operators.markup`.
 from __future__ import annotations
 
 from collections.abc import Sequence
+from html.entities import html5
 
 from pyspark.sql import Column
 
@@ -31,15 +32,23 @@ BLOCK_TAGS = (
     "nav", "ol", "p", "pre", "section", "table", "td", "th", "tr", "ul",
 )
 
-# Named character references; "&amp;" is replaced last.
-ENTITIES = {
-    "&lt;": "<", "&gt;": ">", "&quot;": '"', "&apos;": "'", "&nbsp;": " ",
-    "&copy;": "©", "&reg;": "®", "&trade;": "™", "&middot;": "·",
-    "&bull;": "•", "&hellip;": "…", "&ndash;": "–", "&mdash;": "—",
-    "&lsquo;": "‘", "&rsquo;": "’", "&ldquo;": "“", "&rdquo;": "”",
-    "&laquo;": "«", "&raquo;": "»", "&times;": "×", "&euro;": "€",
-    "&amp;": "&",
-}
+# Named character references come from the language's own table. Frequent ones stand first, as Spark looks
+# through a map from its start.
+_FREQUENT = ("amp", "nbsp", "lt", "gt", "quot", "apos", "copy", "middot", "hellip", "ndash", "mdash", "rsquo", "laquo", "raquo")
+_KEY, _END = "\x01", "\x02"
+
+
+def _named_map_sql() -> str:
+    """Map from name to characters, one literal."""
+    names = {n[:-1]: v for n, v in html5.items() if n.endswith(";")}
+    ordered = [*_FREQUENT, *sorted(set(names) - set(_FREQUENT))]
+    listed = _END.join(f"{n}{_KEY}{names[n]}" for n in ordered)
+    return f"str_to_map({quote(listed)}, {quote(_END)}, {quote(_KEY)})"
+
+
+NAMED = _named_map_sql()
+# names that are also known without a semicolon, the longest first
+SHORT = "|".join(sorted((n for n in html5 if not n.endswith(";")), key=lambda n: (-len(n), n)))
 
 # Addresses that are files, addresses that are images.
 FILE_HREF = r"(?i)\.pdf|\.doc|\.xls|\.zip|\.hwp|download"
@@ -49,32 +58,45 @@ IMAGE_URL = r"(?i)\.(jpg|jpeg|png|gif|bmp|svg|webp|tiff|ico)$"
 _BREAK, _LINK_ON, _LINK_OFF = "\ufdd1", "\ufdd2", "\ufdd3"
 
 
-def decode_entities_sql(e: str) -> str:
-    """Replace the known named references and all numeric references.
+def decode_entities_sql(e: str, in_attribute: bool = False) -> str:
+    """Replace all named and numeric character references.
 
     ``e`` is used several times, so it should be a name. Text without ``&``
-    (nearly all of it) is passed on untouched.
+    (nearly all of it) is passed on untouched. A name without semicolon counts if it is one of those that may
+    lack it; in an attribute only if neither ``=`` nor a letter or digit follows, as in addresses.
     """
 
-    def numeric(text: str) -> str:
-        acc, ref = fresh(), fresh()
-        refs = f"array_distinct(regexp_extract_all({text}, '&#(?:[0-9]{{1,7}}|[xX][0-9a-fA-F]{{1,6}});', 0))"
+    def char(code: str) -> str:
+        # neither surrogates nor the code points used as marks
+        valid = f"({code} BETWEEN 1 AND 55295 OR {code} BETWEEN 57344 AND 64975 OR {code} BETWEEN 65008 AND 1114111)"
+        return f"decode(unhex(lpad(hex(IF({valid}, {code}, 65533)), 8, '0')), 'UTF-32')"
 
-        def char(code: str) -> str:
-            # neither surrogates nor the code points used as marks
-            valid = f"({code} BETWEEN 1 AND 55295 OR {code} BETWEEN 57344 AND 64975 OR {code} BETWEEN 65008 AND 1114111)"
-            return f"decode(unhex(lpad(hex(IF({valid}, {code}, 65533)), 8, '0')), 'UTF-32')"
+    def numeric(ref: str) -> str:
+        digits = f"regexp_extract({ref}, '([0-9a-fA-F]+)', 1)"
+        return let(f"cast(conv({digits}, IF(rlike({ref}, '[xX]'), 16, 10), 10) AS int)", char)
 
-        def code(r: str) -> str:
-            digits = f"regexp_extract({r}, '([0-9a-fA-F]+)', 1)"
-            return f"cast(conv({digits}, IF(rlike({r}, '[xX]'), 16, 10), 10) AS int)"
+    def named(ref: str, names: str) -> str:
+        def begins(short_name: str) -> str:
+            return f"coalesce(element_at({names}, {short_name}) || substr({ref}, length({short_name}) + 2), {ref})"
 
-        return f"aggregate({refs}, {text}, ({acc}, {ref}) -> replace({acc}, {ref}, {let(code(ref), char)}))"
+        begun = let(f"regexp_extract({ref}, {quote(f'^&({SHORT})')}, 1)", begins)
+        if in_attribute:
+            begun = f"IF(endswith({ref}, ';'), {ref}, {begun})"
+        return f"coalesce(element_at({names}, regexp_extract({ref}, '^&([A-Za-z0-9]+);$', 1)), {begun})"
+
+    name = f"[A-Za-z][A-Za-z0-9]*+;|(?:{SHORT})(?![=A-Za-z0-9;])" if in_attribute else "[A-Za-z][A-Za-z0-9]*+;?"
+    pieces = f"regexp_extract_all({e}, {quote(f'&(?:#(?:[0-9]{{1,7}}|[xX][0-9a-fA-F]{{1,6}});|{name})|[^&]+|&')}, 0)"
+
+    def joined(names: str) -> str:
+        decoded = map_array(
+            pieces,
+            lambda p: f"CASE WHEN NOT startswith({p}, '&') OR {p} = '&' THEN {p} WHEN startswith({p}, '&#') THEN {numeric(p)}"
+            f" ELSE {named(p, names)} END",
+        )
+        return f"array_join({decoded}, '')"
 
-    out = f"IF(contains({e}, '&#'), {numeric(e)}, {e})"
-    for name, char in ENTITIES.items():
-        out = f"replace({out}, {quote(name)}, {quote(char)})"
-    return f"IF(contains({e}, '&'), {out}, {e})"
+    # one pass over the pieces, so nothing is decoded twice; the map is bound once per text
+    return f"IF(contains({e}, '&'), {let(NAMED, joined)}, {e})"
 
 
 def without_hidden_sql(html: str) -> str:
@@ -109,7 +131,7 @@ def attribute_sql(tag: str, name: str) -> str:
         raw = f"regexp_extract({pair}, {quote(r'(?s)^[^=]*=\s*(.*)$')}, 1)"
         quotes = quote("^[\"']|[\"']$")
         bare = f"regexp_replace({raw}, {quotes}, '')"
-        return f"IF({pair} IS NOT NULL, {let(bare, decode_entities_sql)}, NULL)"
+        return f"IF({pair} IS NOT NULL, {let(bare, lambda v: decode_entities_sql(v, in_attribute=True))}, NULL)"
 
     # a cheap test spares the scan for the many tags without the attribute
     return let(tag, lambda t: f"IF(contains(lower({t}), {quote(name)}), {scan(t)}, NULL)")
