@@ -99,14 +99,14 @@ def decode_entities_sql(e: str, in_attribute: bool = False) -> str:
     return f"IF(contains({e}, '&'), {let(NAMED, joined)}, {e})"
 
 
-def without_hidden_sql(html: str) -> str:
+def without_hidden_sql(html: str, instead: str = "") -> str:
     """Markup without comments, scripts and style sheets."""
-    return f"regexp_replace({html}, {quote(REMOVED)}, '')"
+    return f"regexp_replace({html}, {quote(REMOVED)}, {quote(instead)})"
 
 
-def token_array_sql(html: str) -> str:
-    """All tags and text runs of a page, in order."""
-    return f"regexp_extract_all({without_hidden_sql(html)}, {quote(TOKEN)}, 0)"
+def token_array_sql(html: str, instead: str = "") -> str:
+    """All tags and text runs of a page, in order. With ``<!>`` in place of hidden parts these end a text run."""
+    return f"regexp_extract_all({without_hidden_sql(html, instead)}, {quote(TOKEN)}, 0)"
 
 
 def tags_named_sql(html: str, name: str) -> str:
@@ -137,11 +137,6 @@ def attribute_sql(tag: str, name: str) -> str:
     return let(tag, lambda t: f"IF(contains(lower({t}), {quote(name)}), {scan(t)}, NULL)")
 
 
-def has_class_sql(class_value: str, name: str) -> str:
-    """True if a class attribute contains ``name`` as a word."""
-    return f"coalesce(rlike({class_value}, {quote(rf'(^|\s){name}(\s|$)')}), false)"
-
-
 def link_hrefs_sql(html: str) -> str:
     """``href`` of every anchor that has one, in order, duplicates kept."""
     return filter_array(
@@ -219,10 +214,6 @@ def attribute(tag: str, name: str) -> Column:
     return column(attribute_sql(tag, name))
 
 
-def has_class(class_value: str, name: str) -> Column:
-    return column(has_class_sql(class_value, name))
-
-
 def link_hrefs(html: str) -> Column:
     return column(link_hrefs_sql(html))
 

@@ -36,11 +36,6 @@ def is_void() -> Column:
     return F.coalesce(F.col("tag").isin(*H.VOID_TAGS), F.lit(False))
 
 
-def running() -> Window:
-    """All tokens of the page up to this one."""
-    return Window.partitionBy("page_id").orderBy("pos").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-
-
 def tokenize(pages: DataFrame, keep: tuple[str, ...] = ()) -> DataFrame:
     """page_id, pos, kind (open, close, text), tag, raw, text.
 
@@ -85,30 +80,6 @@ def _floor_zero(total: Column, low: Column) -> Column:
     return total - F.least(low, F.lit(0))
 
 
-def with_depth(tokens: DataFrame, groups: dict[str, tuple[str, ...] | None]) -> DataFrame:
-    """Add one nesting depth per group of tags (None: all non-void tags).
-
-    At an opening tag the depth includes the element, at a closing tag as well.
-    """
-
-    def step(tags: tuple[str, ...] | None) -> Column:
-        member = ~is_void() if tags is None else F.col("tag").isin(*tags)
-        return F.when(is_open() & member, 1).when(is_close() & member, -1).otherwise(0)
-
-    # one window for all groups
-    out = tokens.withColumns({f"_s_{name}": F.sum(step(tags)).over(running()) for name, tags in groups.items()})
-    out = out.withColumns(
-        {
-            name: (
-                _floor_zero(F.col(f"_s_{name}"), F.min(f"_s_{name}").over(running()))
-                + F.when(is_close() & (step(tags) != 0), 1).otherwise(0)
-            ).cast("int")
-            for name, tags in groups.items()
-        }
-    )
-    return out.drop(*[f"_s_{name}" for name in groups])
-
-
 def with_ends(tokens: DataFrame) -> DataFrame:
     """Add ``tag_level`` (nesting depth among elements of the same tag) and, at
     opening tags, ``end`` (position of the closing tag, NULL if there is none)."""

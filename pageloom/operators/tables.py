@@ -6,7 +6,7 @@ page's tokens (:mod:`pageloom.functions.grid`). All of it happens inside the pag
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -16,6 +16,7 @@ from ..functions import urls as U
 from ..functions.expr import column, filter_array, let, quote
 from ..functions.grid import CELL, TABLES
 from ..functions.text import clean_text_sql
+from .folds import fold
 
 _NO_TOKENS = f"cast(NULL AS {grid.TOKEN})"
 
@@ -29,7 +30,7 @@ def _span_sql(tag: str, name: str) -> str:
     return let(H.attribute_sql(tag, name), lambda v: f"IF({v} IS NULL, 1, try_cast(trim({v}) AS int))")
 
 
-def token_structs_sql(html: str) -> str:
+def token_structs_sql(tokens: str) -> str:
     """Tokens as the fold takes them: tags as written, decoded texts, and the attributes of cells, anchors and images."""
 
     def read(t: str) -> str:
@@ -50,7 +51,7 @@ def token_structs_sql(html: str) -> str:
             f" WHEN rlike({t}, {quote(r'(?s)^<[!?].*>$')}) THEN {nothing} ELSE {text} END"
         )
 
-    return f"cast(transform({H.token_array_sql(html)}, t -> {read('t')}) AS {grid.TOKEN})"
+    return f"cast(transform({tokens}, t -> {read('t')}) AS {grid.TOKEN})"
 
 
 def _finished_sql(tables: str, base: str) -> str:
@@ -77,6 +78,20 @@ def _finished_sql(tables: str, base: str) -> str:
     )
 
 
+def table_tokens_sql(html: str, tokens: str | None = None) -> str:
+    """Tokens for :func:`table_fold`, NULL for a page without a table; ``tokens`` if they are cut already."""
+    return f"IF({has_table_sql(html)}, {token_structs_sql(tokens or H.token_array_sql(html))}, {_NO_TOKENS})"
+
+
+def table_fold() -> tuple:
+    """Reader and type of a column of table tokens; :func:`finished` makes its texts and addresses whole."""
+    return grid.read_tables, T.StructType.fromDDL(f"t {TABLES}")["t"].dataType
+
+
+def finished(tables: str, base: str) -> Column:
+    return column(_finished_sql(tables, base))
+
+
 def with_tables(pages: DataFrame, base: str = "url", output: str = "tables") -> DataFrame:
     """Add the tables of each page, in order, as array of (table_no, cells).
 
@@ -86,23 +101,16 @@ def with_tables(pages: DataFrame, base: str = "url", output: str = "tables") ->
     their element; missing ones are made up by the end of an outer element or of the page. ``base``
     is where relative links start from. Without markup (NULL) there are no tables.
     """
-    tokens = column(f"IF({has_table_sql('html')}, {token_structs_sql('html')}, {_NO_TOKENS})")
-    return _folded(pages.withColumn(output, tokens), output).withColumn(output, column(_finished_sql(output, base)))
-
-
-def _folded(pages: DataFrame, output: str) -> DataFrame:
-    """The tokens in column ``output`` replaced by tables; the other columns pass by as they are."""
-    raw = T.StructType.fromDDL(f"t {TABLES}")["t"].dataType
-    schema = T.StructType([T.StructField(f.name, raw if f.name == output else f.dataType) for f in pages.schema])
-    return pages.mapInArrow(grid.fold_column(output), schema)
+    found = fold(pages.withColumn(output, column(table_tokens_sql("html"))), {output: table_fold()})
+    return found.withColumn(output, finished(output, base))
 
 
 def extract_tables(pages: DataFrame, base: str = "url") -> DataFrame:
     """page_id, table_no, cells: one row per table. See :func:`with_tables`."""
-    tokens = column(f"IF({has_table_sql('html')}, {token_structs_sql('html')}, {_NO_TOKENS})")
+    tokens = column(table_tokens_sql("html"))
     # the markup itself need not pass by the fold
-    found = _folded(pages.select("page_id", column(base).alias("_base"), tokens.alias("_tables")), "_tables")
-    return found.select("page_id", column(_finished_sql("_tables", "_base")).alias("_tables")).select("page_id", F.inline("_tables"))
+    found = fold(pages.select("page_id", column(base).alias("_base"), tokens.alias("_tables")), {"_tables": table_fold()})
+    return found.select("page_id", finished("_tables", "_base").alias("_tables")).select("page_id", F.inline("_tables"))
 
 
 def table_cells(pages: DataFrame) -> DataFrame:
