@@ -20,6 +20,17 @@ def store(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def free_names(docs: DataFrame, *names: str) -> list[str]:
+    """A column name for each of ``names`` that the table does not have, whatever its columns are called."""
+    taken, free = {c.lower() for c in docs.columns}, []
+    for name in names:
+        while name.lower() in taken:
+            name += "_"
+        taken.add(name.lower())
+        free.append(name)
+    return free
+
+
 def whole_texts(docs: DataFrame, rows: int = 500) -> DataFrame:
     """For a table whose texts go to Python: at most ``rows`` of them in one Arrow batch.
     Spark's default of 10,000 rows is made for numbers; with long texts such a

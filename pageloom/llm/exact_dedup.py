@@ -16,10 +16,10 @@ from __future__ import annotations
 
 import math
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import SPACES, store
+from .common import SPACES, free_names, store
 
 KEY = ("digest", "check", "n_norm")
 
@@ -88,18 +88,15 @@ def exact_groups(
 
 def drop_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """The rows of ``docs`` that stay, with all their columns."""
-    kept = exact_groups(docs, id_col, text_col).where("kept").select(F.col("id").alias("_id"), F.col("digest").alias("_digest"))
+    digest, key, nth, kept_digest, kept_key = free_names(docs, "digest", "key", "nth", "kept_digest", "kept_key")
+    kept = exact_groups(docs, id_col, text_col).where("kept").select(
+        F.col("digest").alias(kept_digest), F.col("id").alias(kept_key)
+    )
     normal = F.regexp_replace(F.coalesce(F.col(text_col), F.lit("")), SPACES, "")
-    rows = docs.withColumn("_digest", F.unhex(F.sha2(F.encode(normal, "UTF-8"), 256))).withColumn("_id", F.col(id_col))
+    rows = docs.withColumn(digest, F.unhex(F.sha2(F.encode(normal, "UTF-8"), 256))).withColumn(key, F.col(id_col))
     # rows that repeat id and text as well: the longest, then any of the alike
-    from pyspark.sql import Window
-
-    order = Window.partitionBy("_digest", "_id").orderBy(F.char_length(F.coalesce(F.col(text_col), F.lit(""))).desc())
-    same = (F.col("r._digest") == F.col("k._digest")) & F.col("r._id").eqNullSafe(F.col("k._id"))
+    order = Window.partitionBy(digest, key).orderBy(F.char_length(F.coalesce(F.col(text_col), F.lit(""))).desc())
+    same = (F.col(digest) == F.col(kept_digest)) & F.col(key).eqNullSafe(F.col(kept_key))
     return (
-        rows.alias("r")
-        .join(kept.alias("k"), same, "left_semi")
-        .withColumn("_nth", F.row_number().over(order))
-        .where("_nth = 1")
-        .select(*docs.columns)
+        rows.join(kept, same, "left_semi").withColumn(nth, F.row_number().over(order)).where(F.col(nth) == 1).select(*docs.columns)
     )

@@ -33,7 +33,7 @@ import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import store, whole_texts
+from .common import free_names, store, whole_texts
 from .components import components
 from .shingles import WordHashes, byte_texts, shingle_sets, slices
 
@@ -423,7 +423,6 @@ def jaccard_classes(
 
 def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", words: int = 5, percent: int = 80) -> DataFrame:
     """The rows whose id names their class: one document of each group stays."""
+    (name,) = free_names(docs, "stays")
     stays = jaccard_classes(docs, id_col, text_col, words, percent).where(F.col("id").eqNullSafe(F.col("component_id")))
-    stays = stays.select(F.col("id").alias("_id")).distinct()
-    same = F.col(id_col).eqNullSafe(F.col("_id"))
-    return docs.join(stays, same, "left_semi")
+    return docs.join(stays.select(F.col("id").alias(name)).distinct(), F.col(id_col).eqNullSafe(F.col(name)), "left_semi")

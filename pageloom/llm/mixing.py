@@ -19,7 +19,7 @@ import math
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import n_words, store, uniform
+from .common import free_names, n_words, store, uniform
 
 WEIGHTS = (3.0, 1.0, 2.0)
 
@@ -166,22 +166,25 @@ def take(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source
 
     Rows with the same id, source and size share out their copies among themselves.
     """
-    keys = ("_id", "_source", "_size")
+    keys = free_names(docs, "id", "source", "size")
+    planned = free_names(docs, "planned_id", "planned_source", "planned_size")
+    copies, nth = free_names(docs, "copies", "nth")
     plan = (
         mix(docs, id_col, text_col, source_col, **options)
-        .groupBy(F.col("id").alias("_id"), F.col("source").alias("_source"), F.col("size").alias("_size"))
-        .agg(F.sort_array(F.collect_list("copies"), asc=False).alias("_copies"))
-        .where(F.element_at("_copies", 1) > 0)
+        .groupBy(*(F.col(name).alias(p) for name, p in zip(("id", "source", "size"), planned)))
+        .agg(F.sort_array(F.collect_list("copies"), asc=False).alias(copies))
+        .where(F.element_at(copies, 1) > 0)
     )
-    rows = docs.withColumn("_id", F.col(id_col)).withColumn("_source", F.col(source_col)).withColumn("_size", n_words(F.col(text_col)))
+    rows = docs.withColumns(dict(zip(keys, (F.col(id_col), F.col(source_col), n_words(F.col(text_col))))))
     same = F.lit(True)
-    for key in keys:
-        same = same & F.col(f"r.{key}").eqNullSafe(F.col(f"p.{key}"))
-    nth = F.row_number().over(Window.partitionBy(*(F.col(f"r.{k}") for k in keys)).orderBy(F.col("r._size")))
+    for key, p in zip(keys, planned):
+        same = same & F.col(key).eqNullSafe(F.col(p))
+    # rows that agree in all three share out the copies
+    number = F.row_number().over(Window.partitionBy(*keys).orderBy(keys[2]))
     return (
-        rows.alias("r").join(plan.alias("p"), same)
-        .select(*(F.col(f"r.{c}") for c in docs.columns), F.element_at("p._copies", nth).alias("_n"))
-        .where("_n > 0")
-        .select(*docs.columns, F.explode(F.sequence(F.lit(1), F.col("_n").cast("int"))).alias("_nth"))
-        .drop("_nth")
+        rows.join(plan, same)
+        .select(*docs.columns, F.element_at(copies, number).alias(nth))
+        .where(F.col(nth) > 0)
+        .select(*docs.columns, F.explode(F.sequence(F.lit(1), F.col(nth).cast("int"))).alias(nth))
+        .drop(nth)
     )

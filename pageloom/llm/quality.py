@@ -24,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import store, whole_texts
+from .common import free_names, store, whole_texts
 from .shingles import WordHashes, byte_texts, slices, word_hashes
 
 ORDER = 5
@@ -337,6 +337,7 @@ def quality(
 def keep_good(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang") -> DataFrame:
     """The rows that the rules keep, with all their columns. Rows that share an id are
     judged together: one that fails takes the others with it."""
-    verdict = quality(docs, id_col, text_col, lang_col).groupBy(F.col("id").alias("_id")).agg(F.min("kept").alias("_kept"))
-    good = verdict.where("_kept").select("_id")
-    return docs.join(good, F.col(id_col).eqNullSafe(F.col("_id")), "left_semi")
+    (name,) = free_names(docs, "judged")
+    verdict = quality(docs, id_col, text_col, lang_col).groupBy("id").agg(F.min("kept").alias("kept"))
+    good = verdict.where("kept").select(F.col("id").alias(name))
+    return docs.join(good, F.col(id_col).eqNullSafe(F.col(name)), "left_semi")

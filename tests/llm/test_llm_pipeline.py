@@ -89,3 +89,45 @@ def test_every_query_is_registered():
     found = entry_points.queries()
     assert {f"op{n}_" for n in range(1, 11)} <= {re.match(r"op\d+_", name).group() for name in found if name.startswith("op")}
     assert "pipeline" in found and set(entry_points.oracle_sql()) <= set(found)
+
+
+# names that the operators use inside, as columns of the user, with values that must come through
+USERS = [
+    "id", "source_", "size", "copies", "nth", "key", "digest", "kept", "kept_key", "kept_digest", "stays", "judged", "planned_id",
+    "planned_source", "planned_size", "_id", "_n", "_nth", "_size", "_source", "_digest", "_copies", "n", "component_id", "position",
+]
+AWKWARD = "doc_id long, text string, lang string, source string, " + ", ".join(f"{c} string" for c in USERS)
+
+
+def awkward_rows():
+    users = [f"own {c}" for c in USERS]
+    good = [" ".join(f"w{i}x{k} and the{i}" for k in range(15)) for i in range(12)]
+    rows = [(i, t, "en", f"s{i % 3}", *users) for i, t in enumerate(good)]
+    rows += [
+        (20, None, "en", "s0", *users), (21, "", "en", "s0", *users), (22, " \n\t ", None, None, *users),
+        (None, good[0] + " more", None, None, *users), (23, "x" * 200_000, "en", "s1", *users), (24, good[1].replace(" ", "\n"), "", "", *users),
+    ]
+    return rows + rows[:2]  # rows that repeat as a whole
+
+
+@pytest.mark.parametrize("number", range(4))
+def test_stages_keep_clashing_columns(spark, number):
+    _, stage = corpus_pipeline.STAGES[number]
+    docs = spark.createDataFrame(awkward_rows(), AWKWARD).repartition(3)
+    after = stage(spark, docs, SF_DIR)
+    assert after.columns == docs.columns
+    rows = after.collect()
+    assert rows and all([r[c] for c in USERS] == [f"own {c}" for c in USERS] for r in rows)
+    given = Counter((r[0], r[1]) for r in awkward_rows())
+    assert set((r["doc_id"], r["text"]) for r in rows) <= set(given)
+    ids = Counter(r["doc_id"] for r in rows)
+    if number == 1:  # of equal texts the longest, then the smallest id; of whole repeats one
+        assert ids == Counter([*range(12), 22, 23, None])
+    if number == 2:  # no text, no link
+        assert {20, 21, 22} <= set(ids)
+
+
+@pytest.mark.parametrize("number", range(5))
+def test_stages_on_empty_table(spark, number):
+    docs = spark.createDataFrame([], AWKWARD)
+    assert corpus_pipeline.STAGES[number][1](spark, docs, SF_DIR).collect() == []
