@@ -15,6 +15,7 @@ space; a vocabulary for which that does not hold is refused.
 
 from __future__ import annotations
 
+import hashlib
 import heapq
 import re
 from collections.abc import Iterator
@@ -75,6 +76,7 @@ class Matcher:
 
     def __init__(self, vocabulary: Vocabulary):
         self.v = vocabulary
+        self.name = hashlib.sha256(repr(vocabulary).encode("utf-8", "surrogatepass")).hexdigest()
         own = [(p, i) for i, p in enumerate(vocabulary.pieces) if p]
         alphabet = sorted({c for p, _ in own for c in p})
         self.code = {c: k + 2 for k, c in enumerate(alphabet)}  # 0 ends a unit, 1 is a character of no piece
@@ -114,8 +116,10 @@ class Matcher:
         width = 4
         while width < self.longest:
             after = np.concatenate([rank[width:], np.zeros(width, np.uint64)])
-            rank = np.unique((rank << np.uint64(32)) | after, return_inverse=True)[1].astype(np.uint64)
+            rank = (rank << np.uint64(32)) | after
             width *= 2
+            if width < self.longest:  # the last pairs are sorted as they are
+                rank = np.unique(rank, return_inverse=True)[1].astype(np.uint64)
         suffixes = np.argsort(rank[:n])  # equal ranks have no piece between them
         ordered = [k[suffixes] for k in keys]
         begin, end = self._search(ordered, self.low, False), self._search(ordered, self.high, True)
@@ -295,18 +299,40 @@ class Encoder:
         self.known: dict[str, int] = {}
         self.values, self.begins = np.empty(0, np.int32), np.zeros(1, np.int64)
 
-    def units(self, text: str) -> list[str]:
-        text = (SPACE if self.v.prefix else "") + text.replace(" ", SPACE)
-        if SPACE + SPACE not in text and text[:1] == SPACE:
-            return [SPACE + w for w in text[1:].split(SPACE)]
-        return _UNIT.findall(text)
-
-    def encode(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+    def split(self, texts: pa.Array) -> tuple[list[str], np.ndarray, np.ndarray]:
+        """The distinct units of all texts, the units in order as numbers of these, and how many each text has.
+
+        Texts with single spaces only, nearly all, are split and numbered by Arrow. In the others spaces
+        may stand alone or before a word, and a regular expression finds the units.
+        """
+        texts = pc.replace_substring(pc.fill_null(texts, ""), " ", SPACE)
+        plain = pc.and_not(pc.not_equal(texts, ""), pc.or_(pc.match_substring(texts, SPACE + SPACE), pc.starts_with(texts, SPACE)))
+        if not self.v.prefix:
+            plain = pa.array(np.zeros(len(texts), bool))
+        is_plain = plain.to_numpy(zero_copy_only=False)
+        lists = pc.split_pattern(texts.filter(plain), SPACE)
+        coded = lists.flatten().dictionary_encode()
+        distinct = [SPACE + w for w in coded.dictionary.to_pylist()]
+        counts = np.zeros(len(texts), np.int64)
+        counts[is_plain] = pc.list_value_length(lists).to_numpy()
+        others = [_UNIT.findall((SPACE if self.v.prefix else "") + t) if t else [] for t in texts.filter(pc.invert(plain)).to_pylist()]
+        counts[~is_plain] = [len(u) for u in others]
+        place: dict[str, int] = {}
+        rest = [place.setdefault(u, len(distinct) + len(place)) for u in chain.from_iterable(others)]
+        # units lie in two groups, those of plain texts first: put them in the order of the texts
+        numbers = np.concatenate([coded.indices.to_numpy().astype(np.int64), np.array(rest, np.int64)])
+        order = np.argsort(~is_plain, kind="stable")
+        begin = np.empty(len(texts), np.int64)
+        begin[order] = np.cumsum(counts[order]) - counts[order]
+        return distinct + list(place), numbers[_ranges(begin, counts)], counts
+
+    def encode(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """Ids of all texts in a row, and where each begins."""
-        split = [self.units(t) if t else [] for t in texts]
+        units, numbers, per_text = self.split(texts)
         if len(self.known) > REMEMBERED:
             self._forget()
-        new = [u for u in dict.fromkeys(chain.from_iterable(split)) if u not in self.known]
+        # a unit can be there twice, from texts of either kind
+        new = [u for u in dict.fromkeys(units) if u not in self.known]
         values, counts, at, size = [self.values], [np.diff(self.begins)], 0, 0
         for k, unit in enumerate(new):
             size += len(unit) + 1
@@ -319,21 +345,35 @@ class Encoder:
         self.known.update(zip(new, range(base, base + len(new))))
         self.values, counts = np.concatenate(values), np.concatenate(counts)
         self.begins = np.concatenate([[0], np.cumsum(counts)])
-        units = map(self.known.__getitem__, chain.from_iterable(split))
-        number = np.fromiter(units, np.int64, sum(map(len, split)))
-        length = counts[number]
-        within = np.arange(length.sum()) - np.repeat(np.cumsum(length) - length, length)
-        ids = self.values[np.repeat(self.begins[number], length) + within]
-        per_text = np.concatenate([[0], np.cumsum([len(s) for s in split])])
-        ends = np.concatenate([[0], np.cumsum(length)])[per_text]
+        known = np.fromiter(map(self.known.__getitem__, units), np.int64, len(units))[numbers]
+        length = counts[known]
+        ids = self.values[_ranges(self.begins[known], length)]
+        ends = np.concatenate([[0], np.cumsum(length)])[np.concatenate([[0], np.cumsum(per_text)])]
         return ids, ends
 
 
+def _ranges(begin: np.ndarray, count: np.ndarray) -> np.ndarray:
+    """begin, begin + 1 ... of every range, one after the other."""
+    return np.arange(count.sum()) + np.repeat(begin - (np.cumsum(count) - count), count)
+
+
+# The encoder of the model last used stays with the Python worker, so that its next task need not learn the frequent units
+# again. It holds REMEMBERED units and those of one batch at most, and only saves time.
+_kept: dict[str, Encoder] = {}
+
+
+def _encoder(matcher: Matcher) -> Encoder:
+    if matcher.name not in _kept:
+        _kept.clear()
+        _kept[matcher.name] = Encoder(matcher)
+    return _kept[matcher.name]
+
+
 def _encode(shared):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = Encoder(shared.value)
+        encoder = _encoder(shared.value)
         for batch in slices(batches, 400):
-            ids, ends = encoder.encode([t or "" for t in batch["text"].to_pylist()])
+            ids, ends = encoder.encode(batch["text"])
             columns = [batch.column(i) for i, name in enumerate(batch.schema.names) if name != "text"]
             names = [name for name in batch.schema.names if name != "text"]
             tokens = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(ids, pa.int32()))
