@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+from functools import reduce
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -37,17 +40,33 @@ def unseen(df: DataFrame, seen: DataFrame, key: str) -> DataFrame:
     return df.join(seen.select(key), key, "left_anti")
 
 
-def unseen_small(df: DataFrame, seen: DataFrame, key: str) -> DataFrame:
+History = DataFrame | Callable[[DataFrame], DataFrame]
+
+
+def unseen_small(df: DataFrame, seen: History, key: str) -> DataFrame:
     """:func:`unseen` for a small, already materialised ``df`` and a long history.
 
     The history is first reduced to the keys at hand. That lets Spark broadcast
     the small side and scan the history without shuffling it, while a plain
-    anti join would shuffle all of it for every small batch.
+    anti join would shuffle all of it for every small batch. A history that can be looked up is a
+    function from the keys at hand to the rows that may hold them; the rest of it is not read.
     """
-    known = seen.select(key).join(df.select(key), key, "left_semi").distinct()
+    history = seen(df.select(key)) if callable(seen) else seen
+    known = history.select(key).join(df.select(key), key, "left_semi").distinct()
     return df.join(known, key, "left_anti")
 
 
+def unseen_by_all(df: DataFrame, histories: list[History | None], key: str, small: bool = False) -> DataFrame:
+    """Rows whose key is in none of the histories: one join for all, or one lookup each if ``df`` is small."""
+    present = [h for h in histories if h is not None]
+    if small:
+        for history in present:
+            df = unseen_small(df, history, key)
+        return df
+    keys = [h.select(key) for h in present]
+    return unseen(df, reduce(DataFrame.unionByName, keys), key) if keys else df
+
+
 def dedup_history(
     df: DataFrame,
     seen: DataFrame,

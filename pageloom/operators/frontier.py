@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from ..functions import urls as U
 from ..functions.expr import column, filter_array
 from ..session import cut_lineage, materialise
-from .dedup import unseen, unseen_small
+from .dedup import History, unseen, unseen_by_all
 from .growing import Growing
 from .skew import BROADCAST_KEYS, ROWS_PER_TASK, hot_keys
 from .urls import exclude_urls
@@ -26,11 +26,11 @@ def _absolute_or_none(url: str) -> str:
 
 def admit(
     candidates: DataFrame,
-    visited: DataFrame,
-    parsed: DataFrame | None = None,
+    visited: DataFrame | list[History | None],
+    parsed: History | None = None,
     rules: DataFrame | None = None,
     max_depth: int | None = None,
-    known_keys: DataFrame | None = None,
+    known_keys: DataFrame | list[History | None] | None = None,
     small_batch: bool = False,
 ) -> DataFrame:
     """New pending URLs (url, depth, content_key) from candidates (url, depth).
@@ -38,7 +38,8 @@ def admit(
     URLs are made canonical, filtered (absolute, depth, rules), reduced to one
     per content key (smallest depth, then URL), and dropped if visited, parsed
     or of a known content key. Cheap row-local filters come first; a link that
-    occurs very often is reduced by partial aggregates before any join.
+    occurs very often is reduced by partial aggregates before any join. Several tables of known URLs or keys
+    are given as lists; in a ``small_batch`` they may be lookups (:func:`unseen_small`).
     """
     found = (
         candidates.transform(depth_at_most, max_depth)
@@ -56,15 +57,14 @@ def admit(
         .agg(F.min(F.struct("depth", "url")).alias("best"))
         .select("best.url", "best.depth", "content_key")
     )
-    history = visited.select("url")
-    if parsed is not None:
-        history = history.unionByName(parsed.select("url"))
     if small_batch:
-        best, drop_known = cut_lineage(best), unseen_small
-    else:
-        drop_known = unseen
-    new = drop_known(best, history, "url")
-    return new if known_keys is None else drop_known(new, known_keys, "content_key")
+        best = cut_lineage(best)
+    new = unseen_by_all(best, [*_listed(visited), parsed], "url", small_batch)
+    return unseen_by_all(new, _listed(known_keys), "content_key", small_batch)
+
+
+def _listed(history) -> list[History | None]:
+    return history if isinstance(history, list) else [history]
 
 
 def merge_links(

@@ -148,8 +148,27 @@ def table_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
 def notice_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One notice per order; the next notice is the next order number, and
     some orders end their chain."""
+    return _rendered_notices(spread_table(spark, sf_dir, "orders"), F.expr(ENDS_CHAIN))
+
+
+def feed_landing(spark: SparkSession, sf_dir: str, path: str, parts: int = 3) -> tuple[str, str]:
+    """Notices of all orders as pages that arrive in parts by key range, and the address of the first one.
+
+    The last page of a part has no following notice yet; it is there again in the next part, now with its link.
+    """
+    orders = table(spark, sf_dir, "orders")
+    low, high = orders.agg(F.min("o_orderkey"), F.max("o_orderkey")).first()
+    width = (high - low) // parts + 1
+    for k in range(parts):
+        first, last = low + k * width, min(low + (k + 1) * width - 1, high)
+        part = orders.where(F.col("o_orderkey").between(max(first - 1, low), last))
+        _rendered_notices(part, F.col("o_orderkey") == last).coalesce(1).write.mode("append").parquet(path)
+    return path, f"{BOARD_URL}?mode=view&article_no={low}"
+
+
+def _rendered_notices(orders: DataFrame, ends_chain) -> DataFrame:
     key = F.col("o_orderkey").cast("string")
-    next_href = F.when(F.expr(ENDS_CHAIN), F.lit("javascript:alert('last')")).otherwise(
+    next_href = F.when(ends_chain, F.lit("javascript:alert('last')")).otherwise(
         F.concat(F.lit("?mode=view&amp;article_no="), (F.col("o_orderkey") + 1).cast("string"))
     )
     html = F.format_string(
@@ -162,7 +181,7 @@ def notice_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
         '<ul><li><a href="%5$s">next</a></li><li><a href="?article_no=0">first</a></li></ul></div></div></div></body></html>',
         key, F.col("o_orderpriority"), F.date_format("o_orderdate", "yyyy.M.d"), F.col("o_custkey").cast("string"), next_href,
     )
-    return spread_table(spark, sf_dir, "orders").select(
+    return orders.select(
         F.col("o_orderkey").alias("page_id"), notice_url(key).alias("url"), html.alias("html")
     )
 

@@ -375,6 +375,11 @@ ORACLES: dict[str, str] = {
     "stream_dedup_text": f"SELECT DISTINCT sha256({normal('text')}) AS fp FROM documents",
     "stream_new_notices": f"""SELECT cast(o_orderkey AS varchar) AS article_no, 'notice' AS kind FROM orders WHERE o_orderkey > {MARK}
       UNION ALL SELECT cast(max(o_orderkey) AS varchar), 'mark' FROM orders""",
+    "notice_feed": f"""WITH notices AS (SELECT '{I.BOARD_URL}?mode=view&article_no=' || o_orderkey AS url, cast(year(o_orderdate) AS integer) AS notice_year,
+        'category: [' || o_orderpriority || '] title: ''' || {NOTICE_TITLE} || ''' date: ' || {NOTICE_DATE} || ' ' || chr(10) ||
+          ' - First ' || o_orderkey || ' - By' || o_custkey || ' - end' AS merged_text, o_orderkey AS article_no FROM orders)
+      SELECT *, 'record' AS kind FROM notices UNION ALL SELECT url, notice_year, merged_text, NULL, 'line' FROM notices
+      UNION ALL SELECT '{I.BOARD_URL}?mode=view&article_no=' || max(article_no), NULL, NULL, max(article_no), 'mark' FROM notices""",
     "stream_resume": "SELECT doc_id, md5(text) AS text_md5 FROM documents",
     # G
     "admit_responses": """SELECT event_id, 'https://h/' || user_id AS url, CASE event_type WHEN 'error' THEN 'retry' WHEN 'click' THEN 'retry'

@@ -15,6 +15,8 @@ from ..operators import urls as url_ops
 from ..session import scratch_dir
 from ..sources import jsonl, pages as page_source, state
 from ..streaming import queries as streams
+from ..streaming.feed import Feed, stream_feed
+from ..streaming.state import BatchStore
 from . import inputs as I
 from .site_pass import run_pass
 from .site_walk import run_walk
@@ -524,10 +526,25 @@ def stream_new_notices(spark, sf):
     )
     path = scratch_dir(spark, "new-notices")
     streams.resume(streams.stream_new_notices(sdf, path, I.mid_mark(spark, sf)), scratch_dir(spark, "checkpoint"))
-    marks = spark.read.parquet(f"{path}/marks").agg(F.max("last_article_no").cast("string").alias("article_no"))
-    return spark.read.parquet(f"{path}/notices").select("article_no", F.lit("notice").alias("kind")).unionByName(
-        marks.select("article_no", F.lit("mark").alias("kind"))
+    store = BatchStore(spark, path)
+    marks = spark.createDataFrame([(store.note[0], "mark")], "article_no string, kind string")
+    return store.read("notices", sdf.schema).select("article_no", F.lit("notice").alias("kind")).unionByName(marks)
+
+
+@query
+def notice_feed(spark, sf):
+    """Every notice of a chain that arrives in three parts, from the year files and the typed records, and the last mark."""
+    landing, first = I.feed_landing(spark, sf, scratch_dir(spark, "landing-feed"))
+    sdf = page_source.stream_pages(spark, landing, max_files_per_batch=1)
+    path = scratch_dir(spark, "feed")
+    streams.resume(stream_feed(sdf, path, I.BOARD_URL, first), scratch_dir(spark, "checkpoint"))
+    feed = Feed(spark, path)
+    records = feed.records().select("url", "notice_year", "merged_text", "article_no", F.lit("record").alias("kind"))
+    lines = feed.files().select("url", "notice_year", "merged_text", F.lit(None).cast("long").alias("article_no"), F.lit("line").alias("kind"))
+    mark = spark.createDataFrame(
+        [(feed.mark()["last_page_url"], None, None, int(feed.mark()["last_article_no"]), "mark")], records.schema
     )
+    return records.unionByName(lines).unionByName(mark)
 
 
 @query
@@ -535,12 +552,13 @@ def stream_site_pass(spark, sf):
     landing = _landing(spark, sf, "pages", "page_id")
     sdf = page_source.stream_pages(spark, landing, max_files_per_batch=1).withColumn("depth", F.expr(I.PAGE_DEPTH))
     path = scratch_dir(spark, "site-pass")
-    writer = streams.stream_pass(sdf, path, U.netloc_sql("url"), rules=I.rules(spark), max_depth=3)
+    writer = streams.stream_pass(sdf, path, U.netloc_sql("url"), rules=I.rules(spark), max_depth=3, buckets=16)
     streams.resume(writer, scratch_dir(spark, "checkpoint"))
-    return spark.read.parquet(f"{path}/records").select(
+    store = BatchStore(spark, path)
+    return store.read("records", "url string, fp string").select(
         F.lit("record").alias("kind"), "url", F.col("fp").alias("key")
     ).unionByName(
-        spark.read.parquet(f"{path}/frontier").select(F.lit("link").alias("kind"), "url", F.col("content_key").alias("key"))
+        store.read("frontier", streams.FRONTIER_SCHEMA).select(F.lit("link").alias("kind"), "url", F.col("content_key").alias("key"))
     )
 
 

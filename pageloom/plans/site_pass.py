@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from ..functions import text as T
 from ..functions import urls as U
 from ..operators.blocks import page_text
-from ..operators.dedup import unseen, unseen_small
+from ..operators.dedup import History, unseen_by_all
 from ..operators.frontier import admit
 from ..operators.markup import extract_links
 from ..operators.records import build_records
@@ -33,21 +33,13 @@ class PassResult(NamedTuple):
     fetched: DataFrame
 
 
-def _union(parts: list[DataFrame | None], *columns: str) -> DataFrame:
-    present = [df.select(*columns) for df in parts if df is not None]
-    out = present[0]
-    for df in present[1:]:
-        out = out.unionByName(df)
-    return out
-
-
 def run_pass(
     pages: DataFrame,
     base_domain: str,
-    seen: DataFrame | None = None,
-    visited: DataFrame | None = None,
-    parsed: DataFrame | None = None,
-    known_keys: DataFrame | None = None,
+    seen: History | None = None,
+    visited: History | None = None,
+    parsed: History | None = None,
+    known_keys: History | None = None,
     rules: DataFrame | None = None,
     max_depth: int | None = None,
     small_batch: bool = False,
@@ -62,7 +54,7 @@ def run_pass(
     deduplication and the records need them and parsing is the costly part.
     A page with blank or repeated text is dropped with its links. A link to a
     page of this pass, or to its content, is not new. ``small_batch`` suits few
-    pages against a long history.
+    pages against a long history, which may then be given as lookups.
     """
     texts = cut_lineage(
         pages.select("page_id", page_text("html").alias("merged_text"))
@@ -71,9 +63,7 @@ def run_pass(
         .select("page_id", "merged_text", F.sha2("_normal", 256).alias("fp"))
     )
     # (fingerprint, page) only, reduced per task before the shuffle
-    winners = texts.groupBy("fp").agg(F.min("page_id").alias("page_id"))
-    if seen is not None:
-        winners = (unseen_small if small_batch else unseen)(winners, seen, "fp")
+    winners = unseen_by_all(texts.groupBy("fp").agg(F.min("page_id").alias("page_id")), [seen], "fp", small_batch)
     kept = cut_lineage(winners.join(texts.select("page_id", "merged_text"), "page_id"))
     surviving = pages.join(kept, "page_id")
     fetched = pages.select(U.normalize_url("url").alias("url")).withColumn("content_key", U.content_key("url"))
@@ -82,11 +72,11 @@ def run_pass(
     )
     frontier = admit(
         links,
-        _union([fetched, visited], "url"),
+        [fetched, visited],
         parsed,
         rules,
         max_depth,
-        _union([fetched, known_keys], "content_key"),
+        [fetched, known_keys],
         small_batch,
     )
     return PassResult(

@@ -9,17 +9,18 @@ from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
 from ..functions import text as T
 from ..operators.notices import high_water, new_notices
 from ..plans.site_pass import run_pass
-from .state import BatchTable
+from .state import BUCKETS, BatchStore, Keyed
 
 # Fixed value: how often a waiting feed looks for something new.
 POLL_INTERVAL = "60 seconds"
 
-PASS_TABLES = {
-    "seen": "fp string",
-    "visited": "url string, content_key string",
-    "parsed": "url string",
-    "frontier": "url string, depth int, content_key string",
+PASS_STATE = {
+    "seen": Keyed("fp string", "fp"),
+    "visited": Keyed("url string", "url"),
+    "parsed": Keyed("url string", "url"),
+    "identities": Keyed("content_key string", "content_key"),
 }
+FRONTIER_SCHEMA = "url string, depth int, content_key string"
 
 
 def stream_dedup(sdf: DataFrame, text: str = "merged_text", ts: str | None = None, within: str | None = None) -> DataFrame:
@@ -38,20 +39,23 @@ def stream_dedup(sdf: DataFrame, text: str = "merged_text", ts: str | None = Non
 def stream_new_notices(sdf: DataFrame, path: str, initial_mark: DataFrame) -> DataStreamWriter:
     """Writer that keeps notices above the running mark and then raises it.
 
-    Results and marks are stored per micro-batch below ``path``; data first,
-    then the mark. ``initial_mark`` holds last_article_no and last_page_url.
+    Notices are stored per micro-batch below ``path`` and committed together with the mark, which is the note of
+    the :class:`BatchStore`. ``initial_mark`` holds last_article_no and last_page_url.
     """
     spark = sdf.sparkSession
-    marks = BatchTable(spark, f"{path}/marks", "last_article_no long, last_page_url string")
-    out = BatchTable(spark, f"{path}/notices", sdf.schema)
 
     def process(batch: DataFrame, batch_id: int) -> None:
-        mark = initial_mark.selectExpr(
-            "try_cast(last_article_no AS bigint) AS last_article_no", "last_page_url"
-        ).unionByName(marks.before(batch_id))
-        out.write(new_notices(batch, mark), batch_id)
-        written = spark.read.parquet(f"{out.path}/batch={batch_id}")
-        marks.write(high_water(written).where("last_article_no IS NOT NULL"), batch_id)
+        store = BatchStore(spark, path)
+        if store.is_done(batch_id):
+            return
+        mark = initial_mark.select("last_article_no", "last_page_url")
+        if store.note is not None:
+            mark = mark.unionByName(spark.createDataFrame([store.note], "last_article_no string, last_page_url string"))
+        new = store.folder("notices", batch_id)
+        new_notices(batch, mark).write.mode("overwrite").parquet(new)
+        top = high_water(spark.read.schema(sdf.schema).parquet(new)).first()
+        note = store.note if top.last_article_no is None else [str(top.last_article_no), top.last_page_url]
+        store.commit(batch_id, note)
 
     return sdf.writeStream.foreachBatch(process)
 
@@ -62,38 +66,38 @@ def stream_pass(
     base_domain: str,
     rules: DataFrame | None = None,
     max_depth: int | None = None,
+    buckets: int = BUCKETS,
 ) -> DataStreamWriter:
     """Writer that runs the site pass on each arriving batch of pages.
 
-    Fingerprints, visited and parsed URLs and the frontier are kept per batch
-    below ``path``; records go to ``path/records``. A batch is small against
-    the history, so the history is probed without being shuffled.
+    Fingerprints, visited and parsed URLs and content keys are keyed state below ``path``: a batch reads only the buckets that
+    its own keys fall into. Records and the frontier are output tables; all are committed together (:class:`BatchStore`).
     """
     spark = sdf.sparkSession
-    tables = {name: BatchTable(spark, f"{path}/{name}", schema) for name, schema in PASS_TABLES.items()}
 
     def process(batch: DataFrame, batch_id: int) -> None:
-        visited = tables["visited"].before(batch_id)
+        store = BatchStore(spark, path, PASS_STATE, buckets)
+        if store.is_done(batch_id):
+            return
         result = run_pass(
             batch,
             base_domain,
-            seen=tables["seen"].before(batch_id),
-            visited=visited,
-            parsed=tables["parsed"].before(batch_id),
-            known_keys=visited,
+            seen=store.lookup("seen"),
+            visited=store.lookup("visited"),
+            parsed=store.lookup("parsed"),
+            known_keys=store.lookup("identities"),
             rules=rules,
             max_depth=max_depth,
             small_batch=True,
         )
-        result.records.write.mode("overwrite").parquet(f"{path}/records/batch={batch_id}")
-        tables["frontier"].write(result.frontier, batch_id)
+        result.records.write.mode("overwrite").parquet(store.folder("records", batch_id))
+        frontier = store.folder("frontier", batch_id)
+        result.frontier.select("url", "depth", "content_key").write.mode("overwrite").parquet(frontier)
         # read back what was admitted instead of computing it again
-        admitted = spark.read.parquet(f"{path}/frontier/batch={batch_id}")
-        tables["visited"].write(
-            admitted.select("url", "content_key").unionByName(result.fetched), batch_id
-        )
-        tables["parsed"].write(result.parsed, batch_id)
-        tables["seen"].write(result.seen, batch_id)
+        admitted = spark.read.schema(FRONTIER_SCHEMA).parquet(frontier)
+        met = admitted.select("url", "content_key").unionByName(result.fetched)
+        added = {"seen": result.seen, "visited": met.select("url"), "parsed": result.parsed, "identities": met.select("content_key")}
+        store.commit(batch_id, added={name: rows.distinct() for name, rows in added.items()})
 
     return sdf.writeStream.foreachBatch(process)
 

@@ -147,6 +147,17 @@ def test_chain_with_cycle_and_missing_page(spark):
     assert got == [("a", 0, "a"), ("a", 1, "b"), ("a", 2, "c"), ("a", 3, "d"), ("x", 0, "x"), ("x", 1, "y")]
 
 
+def test_chain_with_converging_starts(spark):
+    # s2 joins the chain of s1, both and s3 end in a cycle, and many pages point to one
+    links = [("s1", "b"), ("b", "c"), ("s2", "c"), ("c", "d"), ("d", "e"), ("e", "c"), ("s3", "d")] + [(f"m{i}", "e") for i in range(50)]
+    df = spark.createDataFrame(links, "url string, next_url string")
+    start = spark.createDataFrame([("s1",), ("s2",), ("s3",), ("s2",), *[(f"m{i}",) for i in range(50)]], "url string")
+    got = {r.url: (r.start, r.pos) for r in notices.walk_chain(df, start, rows_per_task=1).collect()}
+    want = {"s1": ("s1", 0), "s2": ("s2", 0), "s3": ("s3", 0), "b": ("s1", 1), "c": ("s2", 1), "d": ("s3", 1), "e": ("m0", 1)}
+    assert got == want | {f"m{i}": (f"m{i}", 0) for i in range(50)}
+    assert notices.walk_chain(df, start.limit(0)).count() == 0
+
+
 def test_new_notices_edges(spark):
     rows = spark.createDataFrame([("101",), ("100",), ("12a",), (None,)], "article_no string")
     mark = lambda v: spark.createDataFrame([(v, "")], "last_article_no string, last_page_url string")
