@@ -10,8 +10,8 @@ from ..functions.expr import column, filter_array
 from ..session import cut_lineage, materialise
 from .dedup import History, unseen, unseen_by_all
 from .growing import Growing
+from .rules import exclude_urls
 from .skew import BROADCAST_KEYS, ROWS_PER_TASK, hot_keys
-from .urls import exclude_urls
 
 
 def depth_at_most(df: DataFrame, max_depth: int | None) -> DataFrame:

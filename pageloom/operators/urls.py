@@ -2,20 +2,16 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
-
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import urls as U
-from ..functions.expr import column, let, quote
-
-# Rule tables up to this size become one filter expression.
-MAX_INLINE_RULES = 500
-MAX_INLINE_BYTES = 200_000
-
-RULE_SCHEMA = "kind string, param string, value string"
+from ..functions.expr import column, let
+from .rules import RULE_SCHEMA, exclude_urls
 
+__all__ = [
+    "RULE_SCHEMA", "absolute_only", "exclude_urls", "http_only", "in_domain", "query_params", "resolve", "split_url",
+]
 
 def split_url(df: DataFrame, url: str = "url") -> DataFrame:
     """Add scheme, netloc, path, params, query and fragment."""
@@ -50,72 +46,3 @@ def in_domain(df: DataFrame, url: str, base_domain: str) -> DataFrame:
 def resolve(df: DataFrame, base: str, href: str, output: str = "resolved") -> DataFrame:
     """Add the absolute form of ``href`` relative to ``base``."""
     return df.withColumn(output, U.resolve_url(base, href))
-
-
-def _matches_inline(url: str, rules: Sequence) -> Column:
-    """True if one of the few ``rules`` hits."""
-
-    def prefixes(kind: str) -> str:
-        return f"array({', '.join(quote(r.value) for r in rules if r.kind == kind)})"
-
-    tests = ["false"]
-    if any(r.kind == "url" for r in rules):
-        tests.append(f"exists({prefixes('url')}, r -> startswith({url}, r))")
-    if any(r.kind == "path" for r in rules):
-        tests.append(let(f"{U.url_parts_sql(url)}.path", lambda p: f"exists({prefixes('path')}, r -> startswith({p}, r))"))
-    for rule in rules:
-        if rule.kind == "param":
-            tests.append(f"coalesce(startswith({U.query_value_sql(url, rule.param)}, {quote(rule.value)}), false)")
-    return column(" OR ".join(tests))
-
-
-def _probes(url: str, lengths: dict[str, list[int]], param_names: Sequence[str]) -> Column:
-    """All (kind, param, value) triples that would exclude this URL."""
-
-    def probe(kind: str, text: str, param: str = "") -> str:
-        cuts = f"cast(array({', '.join(map(str, lengths.get(kind, [])))}) AS array<int>)"
-        return let(
-            text,
-            lambda t: f"transform(filter({cuts}, n -> n <= coalesce(length({t}), -1)), n -> named_struct("
-            f"'kind', {quote(kind)}, 'param', {quote(param)}, 'value', substring({t}, 1, n)))",
-        )
-
-    parts = [probe("url", url), probe("path", f"{U.url_parts_sql(url)}.path")]
-    parts += [probe("param", U.query_value_sql(url, name), name) for name in param_names]
-    return column(f"concat({', '.join(parts)})")
-
-
-def exclude_urls(df: DataFrame, url: str, rules: DataFrame) -> DataFrame:
-    """Drop URLs hit by a rule of the table (kind, param, value).
-
-    ``url``: the URL starts with value. ``path``: its path starts with value.
-    ``param``: the first value of query parameter ``param`` starts with value.
-    Prefixes are literal.
-
-    A small rule table (its size is checked) becomes a filter expression and
-    costs no join at all. Above that, every URL is looked up by its prefixes
-    of the lengths that occur among the rules, as an equi-join, so a large rule
-    table is neither broadcast nor compared pair by pair.
-    """
-    rules = rules.select("kind", F.coalesce("param", F.lit("")).alias("param"), "value").where("value is not null")
-    head = rules.limit(MAX_INLINE_RULES + 1).collect()
-    if len(head) <= MAX_INLINE_RULES and sum(len(r.value) for r in head) <= MAX_INLINE_BYTES:
-        if not head:
-            return df
-        return df.where(~F.coalesce(_matches_inline(url, head), F.lit(False)))
-    # distinct prefix lengths and parameter names: bounded by the longest rule
-    # and by the number of parameters a site uses
-    lengths: dict[str, list[int]] = {}
-    for row in rules.groupBy("kind").agg(F.sort_array(F.collect_set(F.length("value"))).alias("n")).collect():
-        lengths[row.kind] = row.n
-    names = [r.param for r in rules.where("kind = 'param'").select("param").distinct().collect()]
-    hits = (
-        df.select(url)
-        .distinct()
-        .withColumn("_probe", F.explode(_probes(url, lengths, names)))
-        .select(url, "_probe.*")
-        .join(rules.distinct(), ["kind", "param", "value"], "left_semi")
-        .select(url)
-        .distinct()
-    )
-    return df.join(hits, url, "left_anti")

@@ -9,6 +9,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..functions.urls import normalize_url
 from ..session import spread
 
 # SQL expressions that mean the same in Spark and in the checking engine.
@@ -68,6 +69,17 @@ def rules(spark: SparkSession) -> DataFrame:
     return spark.createDataFrame(RULES, "kind string, param string, value string")
 
 
+def many_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One rule for every seventh order and every fifth page; rules of orders also hit longer numbers that begin alike."""
+    orders = table(spark, sf_dir, "orders").where("o_orderkey % 7 = 3").selectExpr(
+        "'param' AS kind", "'article_no' AS param", "cast(o_orderkey AS string) AS value"
+    )
+    pages = table(spark, sf_dir, "pages").where("page_id % 5 = 0").select(
+        F.lit("url").alias("kind"), F.lit(None).cast("string").alias("param"), normalize_url("url").alias("value")
+    )
+    return orders.unionByName(pages)
+
+
 def web_urls(spark: SparkSession, sf_dir: str) -> DataFrame:
     """url: the page addresses and one address with odd parts per order."""
     orders = table(spark, sf_dir, "orders").selectExpr(f"{ORDER_URL} AS url")

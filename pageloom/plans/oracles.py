@@ -275,6 +275,12 @@ ORACLES: dict[str, str] = {
     "http_only": f"""SELECT url FROM ({WEB_URLS} UNION ALL SELECT CASE o_orderstatus WHEN 'F' THEN 'ftp://h/' WHEN 'O' THEN 'mailto:' ELSE 'https:' END
       || o_orderkey FROM orders) WHERE lower(url) LIKE 'http:%' OR lower(url) LIKE 'https:%'""",
     "exclude_by_rules": f"SELECT url FROM (SELECT {normalized('url')} AS url FROM ({WEB_URLS})) WHERE NOT {excluded('url')}",
+    "exclude_by_many_rules": f"""WITH u AS (SELECT {normalized('url')} AS url FROM ({WEB_URLS})),
+      n AS (SELECT DISTINCT url, list_filter({pairs(part('url', 7))}, lambda p: p.n = 'article_no')[1].v AS article FROM u),
+      heads AS (SELECT url, left(article, unnest(range(1, length(article) + 1))) AS head FROM n),
+      r AS (SELECT {normalized('url')} AS value FROM pages WHERE page_id % 5 = 0)
+      SELECT url FROM u WHERE url NOT IN (SELECT url FROM heads JOIN orders ON head = cast(o_orderkey AS varchar) WHERE o_orderkey % 7 = 3)
+        AND NOT EXISTS (SELECT 1 FROM r WHERE starts_with(u.url, r.value))""",
     "resolve_links": f"""SELECT o_orderkey, base, href, CASE o_orderpriority
         WHEN '1-URGENT' THEN '{SHOP}/s/a/' || o_orderkey || '?x=1#f' WHEN '2-HIGH' THEN '{SHOP}/b//' || o_orderkey
         WHEN '3-MEDIUM' THEN '{SHOP}/s/' || o_orderstatus || '/v.jsp?p=' || o_orderkey

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from ..functions import text as TX
 from ..functions import urls as U
-from ..operators import blocks, dedup, fetchlog, frontier, markup, notices, records, tables
+from ..operators import blocks, dedup, fetchlog, frontier, markup, notices, records, rules, tables
 from ..operators import text as text_ops
 from ..operators import urls as url_ops
 from ..session import scratch_dir
@@ -225,11 +225,17 @@ def http_only(spark, sf):
 
 @query
 def exclude_by_rules(spark, sf):
-    return url_ops.exclude_urls(
+    return rules.exclude_urls(
         I.web_urls(spark, sf).select(U.normalize_url("url").alias("url")), "url", I.rules(spark)
     )
 
 
+@query
+def exclude_by_many_rules(spark, sf):
+    """As many rules as a seventh of the orders and a fifth of the pages."""
+    return rules.exclude_urls(I.web_urls(spark, sf).select(U.normalize_url("url").alias("url")), "url", I.many_rules(spark, sf))
+
+
 @query
 def resolve_links(spark, sf):
     return url_ops.resolve(_hrefs(spark, sf), "base", "href")

@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 import datetime
+import random
+import re
 
 import pytest
 from pyspark.sql import functions as F
@@ -73,15 +75,42 @@ def rule_rows(spark, rows):
     return spark.createDataFrame(rows, url_ops.RULE_SCHEMA)
 
 
-@pytest.mark.parametrize("inline", [True, False])
-def test_rules(spark, monkeypatch, inline):
-    if not inline:
-        monkeypatch.setattr(url_ops, "MAX_INLINE_RULES", 0)
+# a literal, pages that are broadcast, pages that are joined by shuffle with frequent ones split
+INDEXES = [{}, {"inline_bytes": 0, "page": 1}, {"inline_bytes": 0, "broadcast_bytes": 0, "page": 2, "rows_per_task": 3}]
+
+
+@pytest.mark.parametrize("index", INDEXES)
+def test_rules(spark, index):
     urls = ["https://a.com/wx", "https://a.com/wxyz", "https://b.com/p?mid=n1", "https://b.com/p?mid=m1&mid=n1", "https://c.com/in/x", "https://c.com/", None]
     df = spark.createDataFrame([(u,) for u in urls], "url string")
     rules = rule_rows(spark, [("path", None, "/wxy"), ("param", "mid", "n"), ("url", None, "https://c.com/in"), ("path", None, "/wx/")])
-    kept = {r.url for r in url_ops.exclude_urls(df, "url", rules).collect()}
+    kept = {r.url for r in url_ops.exclude_urls(df, "url", rules, **index).collect()}
     assert kept == {"https://a.com/wx", "https://b.com/p?mid=m1&mid=n1", "https://c.com/", None}
+    assert url_ops.exclude_urls(df, "url", rules.limit(0), **index).count() == len(urls)
+
+
+@pytest.mark.parametrize("index", INDEXES)
+def test_many_rules_against_all_pairs(spark, index):
+    rng = random.Random(7)
+    word = lambda n: "".join(rng.choice("ab'\\é/") for _ in range(rng.randrange(n)))
+    urls = [f"https://{rng.choice('ab')}.com/{word(5)}?x={rng.choice('ab')}{rng.choice('ab1')}&y={word(3)}&x=b" for _ in range(150)]
+    rows = [("path", None, "/" + word(4)) for _ in range(25)] + [("url", "x", f"https://a.com/{word(4)}") for _ in range(25)]
+    rows = [r for r in rows if r[2] not in ("/", "https://a.com/")]
+    rows += [("param", "x", "ab"), ("param", "y", "é"), ("param", "z", ""), ("param", None, "a"), ("other", "x", "a"), ("path", None, None)] + rows[:3]
+    df = spark.createDataFrame([(u,) for u in [*urls, urls[0]]], "url string")
+
+    def hit(url):
+        path, query = re.match(r"https://[^/]*(/[^?]*)\?(.*)", url).groups()
+        values = {}
+        for name, value in (p.split("=", 1) for p in query.split("&")):
+            if value:
+                values.setdefault(name, value)
+        texts = {"url": lambda p: url, "path": lambda p: path, "param": values.get}
+        return any(k in texts and v is not None and (texts[k](p) or "").startswith(v) and texts[k](p) is not None for k, p, v in rows)
+
+    kept = [r.url for r in url_ops.exclude_urls(df, "url", rule_rows(spark, rows), **index).collect()]
+    expected = [u for u in [*urls, urls[0]] if not hit(u)]
+    assert 10 < len(expected) < 140 and sorted(kept) == sorted(expected)
 
 
 @pytest.mark.parametrize("how", ["inner", "left_semi", "left_anti", "left"])
