@@ -10,6 +10,7 @@ from hypothesis import given, settings
 from hypothesis import strategies as st
 
 from pageloom.functions import grid
+from pageloom.functions import html as H
 from pageloom.functions.html import VOID_TAGS
 from pageloom.operators import tables
 
@@ -148,3 +149,30 @@ def test_a_large_page_takes_linear_time(spark):
     page = "<table>" + row * 10_000 + "</table>"
     df = spark.createDataFrame([(1, "", page)], "page_id long, url string, html string")
     assert len(tables.extract_tables(df).first().cells) > 100_000
+
+
+def test_the_fold_reads_tokens_as_the_column_expressions_do(spark):
+    tags = [
+        """<a title="x > href=no" HREF='/q?a=1&amp;b=2&copy=3&lt;&eacute' data-href="n" checked>""", "<a href>", "<a href = x href=y>", "<img src=&#65;.png/>",
+        "<td colspan=' 2 ' rowspan=x>", "<td colspan=&#50;>", "<a data-href=x>", "<a href=\"\">", "<a href='a\"'>", "<td rowspan>",
+    ]
+    names = ["href", "src", "colspan", "rowspan", "title"]
+    texts = ["a &amp;lt; b", "&nbsp;&quot;&hellip;", "&copy 1 &amp;", "&#x41;&#0;&#64976;", "x & y &", "&notit; &notin;", "&unknown; &AMP", "&lt;&", "&amp;#65;"]
+    df = spark.createDataFrame([(i, t) for i, t in enumerate(tags + texts)], "i int, t string")
+    exprs = ", ".join(H.attribute_sql("t", n) for n in names)
+    rows = df.selectExpr("i", f"array({exprs}) AS a", f"{H.decode_entities_sql('t')} AS d", f"{H.decode_entities_sql('t', True)} AS e").orderBy("i").collect()
+    assert [r.a for r in rows[: len(tags)]] == [H.attributes(t, names) for t in tags]
+    assert [(r.d, r.e) for r in rows] == [(H.decoded(t), H.decoded(t, True)) for t in tags + texts]
+
+
+def test_spans_are_read_as_numbers_are_cast(spark):
+    spans = ["2", " +3 ", "-1", "2.5", "x", "", "\t4\n", "2147483648", "-2147483648", "٢", "1e1"]
+    df = spark.createDataFrame([(i, v) for i, v in enumerate(spans)], "i int, v string")
+    cast = [r.c for r in df.selectExpr("i", "try_cast(trim(v) AS int) AS c").orderBy("i").collect()]
+    assert [grid._span(v) for v in spans] == [grid.BAD if c is None else c for c in cast]
+
+
+def test_no_token_is_made_a_struct_by_column_expressions(spark):
+    pages = spark.createDataFrame([(1, "http://h/", "<table><tr><td>x</table>")], "page_id long, url string, html string")
+    plan = tables.with_tables(pages)._jdf.queryExecution().optimizedPlan().toString()
+    assert "str_to_map" not in plan and "try_cast" not in plan
