@@ -13,13 +13,16 @@ and searched there. Pages hold about the square root of all rules, so neither le
 from __future__ import annotations
 
 import math
+from collections.abc import Iterable
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import urls as U
 from ..functions.expr import column, filter_array, fresh, let, map_array, quote
 from ..session import materialise
+from .folds import fold
 from .skew import ROWS_PER_TASK, hot_keys, split_join
 
 RULE_SCHEMA = "kind string, param string, value string"
@@ -67,16 +70,35 @@ def _begins_sql(keys: str, probe: str, longest: int) -> str:
     )
 
 
-def _shortest(rules: DataFrame) -> DataFrame:
-    """(rule): rules that do not continue another one. Each is looked up by its own beginnings, so no two are compared in vain."""
-    rules = rules.distinct()
-    begins = rules.select("rule", F.explode(F.sequence(F.lit(1), F.length("rule") - 1)).alias("n")).select(
-        "rule", "n", F.xxhash64(F.expr("substring(rule, 1, n)")).alias("h")
-    ).where("n < length(rule)")
-    known = rules.select(F.col("rule").alias("head"), F.length("rule").alias("n"), F.xxhash64("rule").alias("h"))
-    # the hash finds, the text decides
-    longer = begins.join(known, ["n", "h"]).where(F.col("rule").startswith(F.col("head"))).select("rule").distinct()
-    return rules.join(longer, "rule", "left_anti")
+def shortest(rules: Iterable[str], before: str | None = None) -> list[str]:
+    """Of sorted rules, those that do not continue another one, nor the one ``before`` them. What continues a rule stands right behind it."""
+    kept: list[str] = []
+    for rule in rules:
+        if before is None or not rule.startswith(before):
+            kept.append(rule)
+            before = rule
+    return kept
+
+
+def _shortest_of_pages(pages: pa.Array) -> pa.Array:
+    return pa.array((shortest(page) for page in pages.to_pylist()), pages.type)
+
+
+def _without_longer(pages: DataFrame) -> DataFrame:
+    """Pages (first, rules) of sorted rules without those that continue another one; a page may end up with none.
+
+    Within a page that is one look at each rule. A rule of an earlier page can only be continued by the rules at the
+    beginning of a page, the first one among them: so it is a beginning of a first rule, and looked up as such.
+    """
+    cut = materialise(fold(pages, {"rules": (_shortest_of_pages, pages.schema["rules"].dataType)}), "rule-pages")
+    begins = cut.select("first", F.explode(F.expr("sequence(0, length(first) - 1)")).alias("n")).select(
+        "first", F.expr("substring(first, 1, n)").alias("rule")
+    ).where("length(first) > 0")
+    # of a first rule's beginnings the shortest is a beginning of the others
+    known = cut.select(F.explode("rules").alias("rule"))
+    heads = begins.join(known, "rule").groupBy("first").agg(F.min("rule").alias("head"))
+    kept = F.expr("IF(head IS NULL, rules, filter(rules, r -> NOT startswith(r, head)))")
+    return cut.join(heads, "first", "left").select("first", kept.alias("rules"))
 
 
 def exclude_urls(
@@ -97,24 +119,27 @@ def exclude_urls(
     What the driver reads is the rules themselves if they are few, and otherwise the first rule of every page.
     """
     texts = rules.where("value IS NOT NULL AND kind IN ('url', 'path', 'param')").select(_rule_text().alias("rule"))
-    least = materialise(_shortest(texts), "rules")
-    n_rules, n_bytes = least.agg(F.count("*"), F.coalesce(F.sum(F.octet_length("rule")), F.lit(0))).first()
+    different = materialise(texts.distinct(), "rules")
+    n_rules, n_bytes = different.agg(F.count("*"), F.coalesce(F.sum(F.octet_length("rule")), F.lit(0))).first()
     if not n_rules:
         return df
     if n_bytes <= inline_bytes:
-        few = sorted((r.rule for r in least.collect()), key=str.encode)
+        few = shortest(sorted((r.rule for r in different.collect()), key=str.encode))
         hit = let(f"array({', '.join(map(quote, few))})", lambda k: f"exists({probes_sql(url)}, p -> {_begins_sql(k, 'p', n_rules)})")
         return df.where(~column(f"coalesce({hit}, false)"))
 
     page = max(page, math.isqrt(n_rules))
     # sorted over all parts, and numbered within a part: the number of a part stands above that of a row
-    ordered = least.repartitionByRange("rule").sortWithinPartitions("rule")
-    pages = materialise(
+    ordered = different.repartitionByRange("rule").sortWithinPartitions("rule")
+    cut = (
         ordered.withColumn("page", F.floor(F.monotonically_increasing_id() / page))
         .groupBy("page")
         .agg(F.min("rule").alias("first"), F.sort_array(F.collect_list("rule")).alias("rules"))
-        .select("first", "rules"),
-        "rule-pages",
+        .select("first", "rules")
+    )
+    # a page without its first rule begins with the next one it has
+    pages = materialise(
+        _without_longer(cut).where("size(rules) > 0").select(F.expr("rules[0]").alias("first"), "rules"), "rule-pages"
     )
     firsts = sorted((r.first for r in pages.select("first").collect()), key=str.encode)
     upper = f"array({', '.join(map(quote, firsts))})"

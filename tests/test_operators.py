@@ -113,6 +113,18 @@ def test_many_rules_against_all_pairs(spark, index):
     assert 10 < len(expected) < 140 and sorted(kept) == sorted(expected)
 
 
+def test_longer_rules_are_found_within_pages(spark):
+    """Only the beginnings of a page's first rule are looked up, so a beginning that all rules share is no frequent key."""
+    from pageloom.operators import rules as index
+
+    texts = sorted({f"param2:ab{n}" for n in range(3, 3000, 7)} | {"path0:/é", "path0:/éa", "url0:x", "url0:x\\y"}, key=str.encode)
+    cut = [(texts[k], texts[k : k + 5]) for k in range(0, len(texts), 5)]
+    pages = spark.createDataFrame(cut, "first string, rules array<string>")
+    kept = sorted(r for p in index._without_longer(pages).collect() for r in p.rules)
+    assert kept == sorted(r for r in texts if not any(r != s and r.startswith(s) for s in texts))
+    assert index.shortest(["a", "ab", "b", "ba", "c"], before="a") == ["b", "c"]
+
+
 @pytest.mark.parametrize("how", ["inner", "left_semi", "left_anti", "left"])
 def test_split_join_equals_plain_join(spark, how):
     left = spark.range(300).select(F.when(F.col("id") < 100, 7).otherwise(F.col("id")).alias("k"), "id")
