@@ -17,9 +17,11 @@ from .text import WHITESPACE, clean_text_sql
 
 # Markup patterns. Quoted attribute values may contain '>', so
 # they are matched as units; possessive groups keep matching linear.
+HIDDEN_MARK = r"<!--|<script|<style"
 REMOVED = r"(?is)<!--.*?-->|<script\b.*?</script\s*>|<style\b.*?</style\s*>"
 TAG = r"(?s)</?[A-Za-z](?:[^'\">]++|\"[^\"]*+\"|'[^']*+')*+>|</?[A-Za-z][^>]*>"
 TOKEN = TAG + r"|<[!?][^>]*>|[^<]+|<"
+LONE_ATTRIBUTE = r"(?i)^<[a-z][a-z0-9]*+ +%s=\"([!#-%%(-;=?-~]*+)\">\z"  # without quotes or references in its value
 ATTRIBUTE = r"(?s)(?<=[\s\"'/])([^\s\"'<>/=]+)(?:\s*=\s*(\"[^\"]*\"|'[^']*'|[^\s\"'>]*))?"
 
 # Elements without content, and elements that end a text block.
@@ -107,7 +109,11 @@ def decode_entities_sql(e: str, in_attribute: bool = False) -> str:
 
 def without_hidden_sql(html: str, instead: str = "") -> str:
     """Markup without comments, scripts and style sheets."""
-    return f"regexp_replace({html}, {quote(REMOVED)}, {quote(instead)})"
+    # to see that there are none is cheaper than to look for their ends
+    return let(
+        html,
+        lambda h: f"IF(rlike({h}, {quote(f'(?i){HIDDEN_MARK}')}), regexp_replace({h}, {quote(REMOVED)}, {quote(instead)}), {h})",
+    )
 
 
 def token_array_sql(html: str, instead: str = "") -> str:
@@ -117,9 +123,16 @@ def token_array_sql(html: str, instead: str = "") -> str:
 
 def tags_named_sql(html: str, name: str) -> str:
     """Opening tags of one element, in order."""
-    tags = f"regexp_extract_all({without_hidden_sql(html)}, {quote(TAG)}, 0)"
     wanted = quote(rf"(?i)^<{name}(?=[\s/>])")
-    return filter_array(tags, lambda t: f"rlike({t}, {wanted})")
+
+    def tags(h: str) -> str:
+        found = f"regexp_extract_all({without_hidden_sql(h)}, {quote(TAG)}, 0)"
+        # a tag that is not there as written can only be made by taking out what is hidden
+        possible = quote(rf"(?i)<{name}[\s/>]|{HIDDEN_MARK}")
+        none = f"IF({h} IS NULL, NULL, cast(array() AS array<string>))"
+        return f"IF(rlike({h}, {possible}), {filter_array(found, lambda t: f'rlike({t}, {wanted})')}, {none})"
+
+    return let(html, tags)
 
 
 def attribute_sql(tag: str, name: str) -> str:
@@ -139,8 +152,13 @@ def attribute_sql(tag: str, name: str) -> str:
         bare = f"regexp_replace({raw}, {quotes}, '')"
         return f"IF({pair} IS NOT NULL, {let(bare, lambda v: decode_entities_sql(v, in_attribute=True))}, NULL)"
 
-    # a cheap test spares the scan for the many tags without the attribute
-    return let(tag, lambda t: f"IF(contains(lower({t}), {quote(name)}), {scan(t)}, NULL)")
+    # cheap tests spare the scan for the many tags without the attribute, or with no other one
+    lone = quote(LONE_ATTRIBUTE % name)
+    return let(
+        tag,
+        lambda t: f"CASE WHEN NOT contains(lower({t}), {quote(name)}) THEN NULL"
+        f" WHEN rlike({t}, {lone}) THEN regexp_extract({t}, {lone}, 1) ELSE {scan(t)} END",
+    )
 
 
 def link_hrefs_sql(html: str) -> str:
@@ -166,7 +184,9 @@ def block_array_sql(html: str) -> str:
     A block ends at every block-level tag, open or close, so unclosed
     paragraphs do no harm. Words inside anchors count as link words.
     """
-    marked = f"translate({without_hidden_sql(html)}, {quote(_BREAK + _LINK_ON + _LINK_OFF)}, '')"
+    marked = without_hidden_sql(html)
+    for mark in (_BREAK, _LINK_ON, _LINK_OFF):
+        marked = f"replace({marked}, {quote(mark)}, '')"
     for pattern, mark in (
         (r"(?is)<head\b.*?</head\s*>", ""),
         (r"(?is)</?(?:" + "|".join(BLOCK_TAGS) + r")(?=[\s/>])[^>]*>", _BREAK),
@@ -180,7 +200,7 @@ def block_array_sql(html: str) -> str:
         return f"IF({text} = '', 0, size(split({text}, ' ')))"
 
     def describe(raw: str) -> str:
-        plain = clean_text_sql(let(f"regexp_replace({raw}, {quote(f'[{_LINK_ON}{_LINK_OFF}]')}, '')", decode_entities_sql))
+        plain = clean_text_sql(let(f"replace(replace({raw}, {quote(_LINK_ON)}, ''), {quote(_LINK_OFF)}, '')", decode_entities_sql))
         links = f"regexp_extract_all({raw}, {quote(f'{_LINK_ON}([^{_LINK_ON}{_LINK_OFF}]*)')}, 1)"
         linked = clean_text_sql(let(f"array_join({links}, ' ')", decode_entities_sql))
         return let(
@@ -188,7 +208,9 @@ def block_array_sql(html: str) -> str:
             lambda b: f"named_struct('text', {b}.t, 'n_words', {word_count(f'{b}.t')}, 'n_link_words', {word_count(f'{b}.l')})",
         )
 
-    return filter_array(map_array(f"split({marked}, {quote(_BREAK)})", describe), lambda b: f"{b}.text <> ''")
+    # tags that follow each other leave nothing between them
+    pieces = filter_array(f"split({marked}, {quote(_BREAK)})", lambda raw: f"{raw} <> ''")
+    return filter_array(map_array(pieces, describe), lambda b: f"{b}.text <> ''")
 
 
 def select_text_sql(blocks: str, max_link_share: float, min_words: int) -> str:
@@ -202,7 +224,7 @@ def select_text_sql(blocks: str, max_link_share: float, min_words: int) -> str:
 
 def split_whitespace_sql(e: str) -> str:
     """Pieces between whitespace runs, empty ones included."""
-    return f"split({e}, {quote(WHITESPACE + '+')}, -1)"
+    return let(e, lambda t: f"IF(rlike({t}, '[^!-~]'), split({t}, {quote(WHITESPACE + '+')}, -1), array({t}))")
 
 
 # --- the same inside the folds, where a tag or text that is repeated is read once per batch ---

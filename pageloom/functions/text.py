@@ -17,7 +17,12 @@ _NO_WORDS = "cast(array() AS array<string>)"
 
 def clean_text_sql(e: str) -> str:
     """NULL becomes "", whitespace runs become one space, ends are trimmed."""
-    return f"trim(regexp_replace(coalesce({e}, ''), {quote(WHITESPACE + '+')}, ' '))"
+
+    def single_spaced(t: str) -> str:
+        # most texts have plain single spaces only, which is cheaper to see than to replace
+        return f"trim(IF(rlike({t}, '[^ -~]') OR contains({t}, '  '), regexp_replace({t}, {quote(WHITESPACE + '+')}, ' '), {t}))"
+
+    return let(f"coalesce({e}, '')", single_spaced)
 
 
 def normalize_text_sql(e: str) -> str:
@@ -76,19 +81,19 @@ def first_match_sql(a_words: str, b_text: str, n: int = SHINGLE_WORDS) -> str:
             f" WHEN instr({b_text}, get({windows}, {i} - 1)) > 0 THEN {i} ELSE 0 END)"
         )
 
-    def guarded(windows: str) -> str:
+    def beyond_first(windows: str) -> str:
         inner_a = let(f"slice({a_words}, 2, size({a_words}) - 2)", lambda w: windows_sql(w, inner))
         inner_b = let(f"split({b_text}, ' ')", lambda w: windows_sql(w, inner))
-        rest = let(
+        return let(
             f"array_intersect({inner_a}, {inner_b})",
             lambda common: f"IF(size({common}) = 0, 0, {search(windows, common)})",
         )
-        # the first window usually matches; look there before anything else
-        return (
-            f"CASE WHEN size({windows}) = 0 THEN 0 WHEN instr({b_text}, get({windows}, 0)) > 0 THEN 1 ELSE {rest} END"
-        )
 
-    return let(windows_sql(a_words, n), guarded)
+    # the first window usually matches; look there before any other is made
+    return (
+        f"CASE WHEN size({a_words}) < {n} THEN 0 WHEN instr({b_text}, array_join(slice({a_words}, 1, {n}), ' ')) > 0 THEN 1"
+        f" ELSE {let(windows_sql(a_words, n), beyond_first)} END"
+    )
 
 
 def _before_match(a_words: str, b_text: str, at: str, n: int) -> str:

@@ -30,6 +30,12 @@ SCHEMES_WITH_RELATIVE = (
 URI_PATTERN = (
     r"(?s)^(?:([A-Za-z][A-Za-z0-9+.\-]*):)?(?://([^/?#]*))?([^?#]*)(?:\?([^#]*))?(?:#(.*))?$"
 )
+# Plain forms, as most addresses have: nothing to clean, decode or drop but a fragment. They are taken apart without the
+# pattern above. Loops over single characters only, which need no stack however long the address.
+_PLAIN_PATH = r"^(?!//)([A-Za-z0-9_~./-]*+)(?:#([A-Za-z0-9_-]*+))?\z"
+_ROOTED = r"^/[A-Za-z0-9_~-][A-Za-z0-9_~/-]*+(?:#[A-Za-z0-9_-]++)?\z"  # a path without dots
+_PLAIN_URL = r"^(https?)://([A-Za-z0-9.-]++)((?:/[A-Za-z0-9_~./-]*+)?)(?:#([A-Za-z0-9_-]*+))?\z"
+_PLAIN_PAGE = r"^https?://(?:www\.)?+([a-z0-9.-]++(?:/[A-Za-z0-9_~./-]*(?<!/))?)/*+(?:#[A-Za-z0-9_-]*+)?\z"
 # A code point that is no character, and is removed from URLs; separates the matched groups.
 _CUT = "\ufdd0"
 
@@ -40,6 +46,29 @@ def url_parts_sql(e: str) -> str:
     Absent parts are "". ``;params`` belong to the last path segment. NULL in,
     NULL out.
     """
+
+    def split(u: str) -> str:
+        def group(pattern: str, i: int) -> str:
+            return f"regexp_extract({u}, {quote(pattern)}, {i})"
+
+        def plain(pattern: str, scheme: str, netloc: str, path: int) -> str:
+            fragment = f"IF(contains({u}, '#'), {group(pattern, path + 1)}, '')"
+            return (
+                f"named_struct('scheme', {scheme}, 'netloc', {netloc}, 'path', {group(pattern, path)},"
+                f" 'params', '', 'query', '', 'fragment', {fragment})"
+            )
+
+        return (
+            f"CASE WHEN {u} IS NULL THEN NULL"
+            f" WHEN rlike({u}, {quote(_PLAIN_PATH)}) THEN {plain(_PLAIN_PATH, quote(''), quote(''), 1)}"
+            f" WHEN rlike({u}, {quote(_PLAIN_URL)}) THEN {plain(_PLAIN_URL, group(_PLAIN_URL, 1), group(_PLAIN_URL, 2), 3)}"
+            f" ELSE {_any_url_parts_sql(u)} END"
+        )
+
+    return let(e, split)
+
+
+def _any_url_parts_sql(e: str) -> str:
     url = rf"regexp_replace(regexp_replace({e}, '^[\\x00-\\x20]+', ''), '[\\t\\r\\n{_CUT}]', '')"
     marks = _CUT.join(f"${i}" for i in range(1, 6))
     groups = f"split(regexp_replace({url}, {quote(URI_PATTERN)}, {quote(marks)}), {quote(_CUT)}, -1)"
@@ -55,7 +84,7 @@ def url_parts_sql(e: str) -> str:
             f" 'params', IF({has_params}, {params}, ''), 'query', {g}[3], 'fragment', {g}[4])"
         )
 
-    return f"IF(({e}) IS NULL, NULL, {let(groups, build)})"
+    return let(groups, build)
 
 
 def join_parts_sql(scheme: str, netloc: str, path: str, params: str, query: str, fragment: str) -> str:
@@ -116,7 +145,11 @@ def normalize_url_sql(e: str, drop_params: Sequence[str] = DROP_PARAMS) -> str:
         path = f"regexp_replace({p}.path, '/+$', '')"
         return join_parts_sql("'https'", host, path, f"{p}.params", query_text(f"{p}.query"), "''")
 
-    return let(url_parts_sql(e), build)
+    plain = quote(_PLAIN_PAGE)
+    return let(
+        e,
+        lambda u: f"IF(rlike({u}, {plain}), 'https://' || regexp_extract({u}, {plain}, 1), {let(url_parts_sql(u), build)})",
+    )
 
 
 def content_key_sql(
@@ -201,7 +234,9 @@ def resolve_from_sql(base: str, base_parts: str, href: str) -> str:
             f"CASE WHEN {base} = '' THEN {href} WHEN {href} = '' THEN {base} WHEN {foreign} THEN {href} ELSE {made} END"
         )
 
-    return let(url_parts_sql(href), build)
+    # such a path takes nothing but scheme and host from its page
+    rooted = f"{b}.netloc <> '' AND {b}.scheme IN ('http', 'https') AND rlike({href}, {quote(_ROOTED)})"
+    return f"IF({rooted}, concat({b}.scheme, '://', {b}.netloc, {href}), {let(url_parts_sql(href), build)})"
 
 
 def resolve_url_sql(base: str, href: str) -> str:

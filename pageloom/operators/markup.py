@@ -189,10 +189,13 @@ def extract_links(pages: DataFrame, base_domain: str, keep: tuple[str, ...] = ()
 
 def file_array(html: str, base: str, base_domain: str) -> Column:
     """Absolute addresses of linked files inside the domain, in page order."""
+    # what is neither written in the markup nor made by decoding or taking out is in no link
+    possible = quote(f"{H.FILE_HREF}|&|{H.HIDDEN_MARK}")
     hrefs = filter_array(H.link_hrefs_sql(html), lambda h: f"rlike({h}, {quote(H.FILE_HREF)})")
+    none = f"IF({html} IS NULL, NULL, cast(array() AS array<string>))"
 
     def absolute(b: str) -> str:
-        targets = map_array(hrefs, lambda h: U.resolve_from_sql(base, b, h))
+        targets = map_array(f"IF(rlike({html}, {possible}), {hrefs}, {none})", lambda h: U.resolve_from_sql(base, b, h))
         return filter_array(targets, lambda t: _in_scope(t, base_domain))
 
     return column(let(U.url_parts_sql(base), absolute))
