@@ -2,20 +2,25 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from typing import NamedTuple
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from ..functions import text as T
+from ..functions import grid, visible
 from ..functions import urls as U
 from ..functions.expr import column
-from ..operators.blocks import page_text
+from ..functions.pieces import Cutter
+from ..functions.text import normalize_text
+from ..functions.urls import Resolver
 from ..operators.dedup import unseen
+from ..operators.folds import fold
 from ..operators.frontier import admit, merge_links
 from ..operators.growing import Growing
-from ..operators.markup import link_array_sql
-from ..operators.records import build_records
+from ..operators.records import build_records, text_reader
 from ..session import materialise
 
 STATE = "url string, depth int, content_key string"
@@ -36,16 +41,35 @@ class WalkResult(NamedTuple):
     parsed: DataFrame
 
 
+def _page_reader() -> Callable[[pa.Array, pa.Array, pa.Array], pa.Array]:
+    """Markup, address and domain of pages to their texts and different links."""
+    cut, text = Cutter(grid.tag_reader(), grid.NO_TAG), text_reader()
+
+    def read(html: pa.Array, url: pa.Array, base_domain: pa.Array) -> pa.Array:
+        texts, links = [], []
+        for page, address, domain in zip(html.to_pylist(), url.to_pylist(), base_domain.to_pylist()):
+            plain = None if page is None else cut.plain(page)
+            texts.append(text(page, plain))
+            if page is None:
+                links.append(None)
+                continue
+            tags = cut.other_tags(page) if plain is None else plain
+            links.append(visible.links(visible.hrefs(tags), Resolver(U.link_base_of(address)), domain))
+        return pa.StructArray.from_arrays([pa.array(texts, pa.string()), pa.array(links, pa.list_(pa.string()))], ["merged_text", "links"])
+
+    return read
+
+
 def read_once(pages: DataFrame, base_domain: str) -> DataFrame:
     """page_id, url (canonical), merged_text, fp (NULL without text) and links of every
     page: one scan, inside the row, written once."""
-    links = link_array_sql("html", "url", base_domain)
-    read = pages.select(
-        "page_id",
-        U.normalize_url("url").alias("url"),
-        page_text("html").alias("merged_text"),
-        column(f"array_distinct(transform({links}, t -> t.target))").alias("links"),
-    ).withColumn("_normal", T.normalize_text("merged_text"))
+    given = pages.select(
+        "page_id", U.normalize_url("url").alias("url"), "html", F.col("url").alias("_base"), column(base_domain).cast("string").alias("_domain")
+    )
+    made = T.StructType.fromDDL("merged_text string, links array<string>")
+    read = fold(given, _page_reader, ("html", "_base", "_domain"), "_made", made).select(
+        "page_id", "url", "_made.merged_text", "_made.links"
+    ).withColumn("_normal", normalize_text("merged_text"))
     return materialise(
         read.select("page_id", "url", "merged_text", F.expr("IF(_normal <> '', sha2(_normal, 256), NULL)").alias("fp"), "links"),
         "walk-pages",
