@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import random
+import re
 
 from pyspark.sql import functions as F
 
@@ -112,3 +113,13 @@ def test_a_task_remembers_a_bounded_number_of_pieces(monkeypatch):
     for i in range(100):
         assert [text for _, text, _ in cut.plain(f"<b>{i}<i x={i}>" + "t" * 500)] == [str(i), "t" * 500]
         assert max(map(len, (cut.shown, cut.tags, cut.any))) <= 10 and all(len(p) <= 200 for p in cut.shown)
+
+
+def test_a_tag_with_one_attribute_is_read_as_any_other(monkeypatch):
+    rng = random.Random(24)
+    names = ["a", "A", "img", "td", "th", "p", "DIV", "head", "header", "br", "table", "tr", "x1"]
+    kinds = ["href", "SRC", "src", "data-src", "data-original", "colspan", "rowspan", "class", "id", "title"]
+    tags = [f'<{rng.choice(names)} {rng.choice(kinds)}="{rng.choice(["", "2", " 3 ", "x", "a b", "/i/1.png", "é"])}">' for _ in range(800)]
+    plain = list(map(grid.tag_reader(lambda *what: what), tags))
+    monkeypatch.setattr(grid, "_ONE_ATTRIBUTE", re.compile("(?!)"))
+    assert plain == list(map(grid.tag_reader(lambda *what: what), tags))
