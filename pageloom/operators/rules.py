@@ -90,7 +90,7 @@ def _without_longer(pages: DataFrame) -> DataFrame:
     Within a page that is one look at each rule. A rule of an earlier page can only be continued by the rules at the
     beginning of a page, the first one among them: so it is a beginning of a first rule, and looked up as such.
     """
-    cut = materialise(fold(pages, {"rules": (_shortest_of_pages, pages.schema["rules"].dataType)}), "rule-pages")
+    cut = materialise(fold(pages, lambda: _shortest_of_pages, ("rules",), "rules", pages.schema["rules"].dataType), "rule-pages")
     begins = cut.select("first", F.explode(F.expr("sequence(0, length(first) - 1)")).alias("n")).select(
         "first", F.expr("substring(first, 1, n)").alias("rule")
     ).where("length(first) > 0")
